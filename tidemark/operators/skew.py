@@ -1,0 +1,95 @@
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+A key holding more than 1/512 of all rows is certain to be among the 512 most
+frequent ones, so the set of heavy keys has a size bound known in advance and
+may be broadcast. Rows of heavy keys get a salt; the lookup side repeats only
+those keys, once per salt.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
+
+HEAVY_KEYS = 512
+SPREAD = 64
+LOOKUP_ROWS = 200_000
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns xxhash64 accepts (it refuses maps, also nested ones)."""
+
+    def has_map(t) -> bool:
+        if isinstance(t, MapType):
+            return True
+        if isinstance(t, ArrayType):
+            return has_map(t.elementType)
+        if isinstance(t, StructType):
+            return any(has_map(f.dataType) for f in t.fields)
+        return False
+
+    return [f.name for f in df.schema.fields if not has_map(f.dataType)]
+
+
+def row_noise(df: DataFrame, spread: int = SPREAD) -> Column:
+    """A salt that depends on row content only, so that a retried task repeats it."""
+    return F.pmod(F.xxhash64(*_hashable(df)), F.lit(spread)).cast("int")
+
+
+def heavy_keys(rows: DataFrame, on: list[str], top: int = HEAVY_KEYS) -> DataFrame:
+    """At most ``top`` keys, among them each one with more than 1/top of the rows."""
+    return (
+        rows.groupBy(*on)
+        .agg(F.count("*").alias("_rows"))
+        .orderBy(F.desc("_rows"))
+        .limit(top)
+        .select(*on, F.lit(True).alias("_heavy"))
+    )
+
+
+def spread_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str = "left",
+    spread: int = SPREAD,
+    top: int = HEAVY_KEYS,
+) -> DataFrame:
+    """Equi-join (left or inner) of many rows to one lookup row per key."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"spread_join cannot do a {how} join")
+    heavy = F.broadcast(heavy_keys(rows, on, top))
+    # NULL keys match nothing but would all hash alike, so they are spread too.
+    key_is_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    salted = rows.join(heavy, on, "left").withColumn(
+        "_salt",
+        F.when(F.col("_heavy") | key_is_null, row_noise(rows, spread)).otherwise(F.lit(0)),
+    )
+    copies = lookup.join(heavy, on, "left").withColumn(
+        "_salt",
+        F.explode(
+            F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(
+                F.array(F.lit(0))
+            )
+        ),
+    )
+    return (
+        salted.drop("_heavy")
+        .join(copies.drop("_heavy"), [*on, "_salt"], how)
+        .drop("_salt")
+    )
+
+
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str = "left",
+    max_rows: int = LOOKUP_ROWS,
+) -> DataFrame:
+    """Join to a dimension: broadcast when a count proves it small, salted otherwise."""
+    if lookup.limit(max_rows + 1).count() <= max_rows:
+        return rows.join(F.broadcast(lookup), on, how)
+    return spread_join(rows, lookup, on, how)

@@ -150,13 +150,13 @@ PARTS: dict[str, tuple[str, list[str]]] = {
     # The merge as one chain per user: the open version first, then the changes.
     "chain0": (
         """select user_id, email_hash, display_name, country_code, user_tier, organization_id,
-               platform, signup_date, account_status, valid_from as at, false as incoming from cur
+               platform, signup_date, account_status, valid_from as since, false as incoming from cur
            union all by name
-           select * exclude (changed_at), changed_at as at, true as incoming from changes""",
+           select * exclude (changed_at), changed_at as since, true as incoming from changes""",
         ["cur", "changes"],
     ),
     "chain1": (
-        """select user_id, at, incoming, """
+        """select user_id, since, incoming, """
         + ", ".join(
             f"last_value({c} ignore nulls) over u as {c}"
             for c in (
@@ -171,22 +171,22 @@ PARTS: dict[str, tuple[str, list[str]]] = {
             )
         )
         + """, first_value(incoming) over u as is_new_user from chain0
-           window u as (partition by user_id order by at rows unbounded preceding)""",
+           window u as (partition by user_id order by since rows unbounded preceding)""",
         ["chain0"],
     ),
     "chain2": (
-        """select *, lag(at) over u is null
+        """select *, lag(since) over u is null
                or user_tier is distinct from lag(user_tier) over u
                or country_code is distinct from lag(country_code) over u
                or display_name is distinct from lag(display_name) over u
                or organization_id is distinct from lag(organization_id) over u
                or account_status is distinct from lag(account_status) over u as is_kept
-           from chain1 window u as (partition by user_id order by at)""",
+           from chain1 window u as (partition by user_id order by since)""",
         ["chain1"],
     ),
     "versions": (
-        """select * exclude (at, is_kept), at as valid_from,
-               lead(at) over (partition by user_id order by at) as valid_to
+        """select * exclude (since, is_kept), since as valid_from,
+               lead(since) over (partition by user_id order by since) as valid_to
            from chain2 where is_kept""",
         ["chain2"],
     ),
@@ -375,9 +375,9 @@ def engagement(where: str) -> str:
         unique_models_used, round(o.per_session, 6) as avg_messages_per_session from (
         select week_start, user_tier, count(distinct session_id) as total_sessions,
             count(*) as total_messages, round(avg(total_tokens), 6) as avg_tokens_per_message,
-            quantile_disc(latency_ms, 0.5) as p50_latency_ms,
-            quantile_disc(latency_ms, 0.95) as p95_latency_ms,
-            quantile_disc(latency_ms, 0.99) as p99_latency_ms,
+            cast(quantile_disc(latency_ms, 0.5) as double) as p50_latency_ms,
+            cast(quantile_disc(latency_ms, 0.95) as double) as p95_latency_ms,
+            cast(quantile_disc(latency_ms, 0.99) as double) as p99_latency_ms,
             count(distinct model_id) as unique_models_used
         from (select c.*, d.user_tier, cast(date_trunc('week', event_timestamp) as date) as week_start
               from conv c left join (select * from dim where is_current) d on c.user_id = d.user_id
@@ -493,9 +493,10 @@ def quarantine(as_of: str, extra: str, held: str) -> str:
             max(confidence_score) as confidence,
             bool_or(severity = 'critical' and confidence_score >= 0.7::double) as sure
         from recent group by user_id) p join (
-        select user_id, violation_type from recent group by all
-        qualify row_number() over (partition by user_id order by count(*) desc, violation_type) = 1
-        ) m on p.user_id = m.user_id
+        select user_id, violation_type from (
+            select user_id, violation_type, row_number() over (
+                partition by user_id order by count(*) desc, violation_type) as place
+            from recent group by user_id, violation_type) where place = 1) m on p.user_id = m.user_id
         where (severe >= 5 or sure) {held}"""
 
 
@@ -813,7 +814,7 @@ ORACLE: dict[str, str] = {
            left join (select model_id as id, count(*) as calls from api group by model_id)
            on id = m.model_id""",
         "api",
-    ).replace("select m.*, coalesce(calls, 0) as calls", "select m.*, coalesce(calls, 0) as calls"),
+    ),
     "dim_plans": sql(
         """select p.*, '2024-01-01' as valid_from, coalesce(billings, 0) as billings from (values
             ('plan_free', 'Free', 0.0::double, 10), ('plan_plus', 'Plus', 20.0::double, 80),
@@ -877,9 +878,9 @@ ORACLE: dict[str, str] = {
         "conv",
     ),
     "latency_percentiles": sql(
-        """select model_id, quantile_disc(latency_ms, 0.5) as p50_latency_ms,
-            quantile_disc(latency_ms, 0.95) as p95_latency_ms,
-            quantile_disc(latency_ms, 0.99) as p99_latency_ms from api group by model_id""",
+        """select model_id, cast(quantile_disc(latency_ms, 0.5) as double) as p50_latency_ms,
+            cast(quantile_disc(latency_ms, 0.95) as double) as p95_latency_ms,
+            cast(quantile_disc(latency_ms, 0.99) as double) as p99_latency_ms from api group by model_id""",
         "api",
     ),
     "monthly_revenue": sql(
@@ -995,9 +996,9 @@ ORACLE: dict[str, str] = {
         "dim",
     ),
     "reconcile_counts": sql(
-        """select (select count(distinct event_id) from conv_raw) as staged_rows,
-            (select count(*) from conv_latest) as loaded_rows,
-            staged_rows = loaded_rows as matches""",
+        """select staged_rows, loaded_rows, staged_rows = loaded_rows as matches from (
+            select (select count(distinct event_id) from conv_raw) as staged_rows,
+            (select count(*) from conv_latest) as loaded_rows)""",
         "conv_raw",
         "conv_latest",
     ),

@@ -1,0 +1,68 @@
+from conftest import at, plan_of
+from pyspark.sql import functions as F
+
+from tidemark.operators.skew import heavy_keys, lookup_join, spread_join
+
+
+def lopsided(spark):
+    """A third of the rows belongs to one key, a tenth to no key."""
+    key = (
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 10 == 1, F.lit(None))
+        .otherwise((F.col("id") % 500).cast("string"))
+    )
+    return spark.range(30_000).select(key.alias("k"), "id")
+
+
+def lookup(spark):
+    names = spark.range(400).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    return names.unionByName(spark.createDataFrame([("hot", -1)], "k string, v bigint"))
+
+
+def test_spread_join_equals_plain_join(spark):
+    rows, names = lopsided(spark), lookup(spark)
+    for how in ("left", "inner"):
+        plain = rows.join(names, ["k"], how).select("k", "id", "v")
+        spread = spread_join(rows, names, ["k"], how, top=8).select("k", "id", "v")
+        assert plain.exceptAll(spread).isEmpty() and spread.exceptAll(plain).isEmpty()
+
+
+def test_hot_key_is_split_over_partitions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = spread_join(lopsided(spark), lookup(spark), ["k"], top=8)
+        sizes = (
+            out.where("k = 'hot'")
+            .groupBy(F.spark_partition_id().alias("p"))
+            .agg(F.count("*").alias("n"))
+            .collect()
+        )
+        assert len(sizes) > 8 and max(r.n for r in sizes) < 10_000 / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_heavy_keys_are_bounded_and_hold_the_hot_one(spark):
+    found = [r.k for r in heavy_keys(lopsided(spark), ["k"], top=5).collect()]
+    assert len(found) == 5 and "hot" in found
+
+
+def test_lookup_join_broadcasts_only_below_the_limit(spark):
+    rows, names = lopsided(spark), lookup(spark)
+    small = lookup_join(rows, names, ["k"], max_rows=1000)
+    large = lookup_join(rows, names, ["k"], max_rows=100)
+    assert "_salt" not in plan_of(small) and "_salt" in plan_of(large)
+    assert small.count() == large.count() == 30_000
+
+
+def test_salt_depends_on_content_only(spark):
+    from tidemark.operators.skew import row_noise
+
+    rows = spark.range(1000).withColumn("ts", F.lit(at(0)))
+    one = rows.select("id", row_noise(rows).alias("s"))
+    two = rows.repartition(7).select("id", row_noise(rows).alias("s"))
+    assert one.exceptAll(two).isEmpty()

@@ -94,9 +94,7 @@ def apply_retention(warehouse: Warehouse, table: str, as_of: str) -> int:
     stored = warehouse.partitions(name, schema)
     if not stored:
         return 0
-    spark = warehouse.spark
-    column = spark.read.parquet(stored[0][1].rsplit("/", 1)[0])
-    period = next(c for c in column.columns if f"/{c}={stored[0][0]}" in stored[0][1])
+    period = stored[0][0]
     data = warehouse.read(name, schema)
     gone = _expired(table, as_of)
     # One row per partition: bounded by the calendar.
@@ -116,9 +114,9 @@ def apply_retention(warehouse: Warehouse, table: str, as_of: str) -> int:
         rewritten = data.where(F.col(period).cast("string").isin(mixed)).where(~gone)
         warehouse.write(rewritten, name, schema, "replace", [period])
     empty = {r.part for r in tally if not r.kept}
-    for value, where in stored:
+    for column, value in stored:
         if value in empty:
-            warehouse.drop_partition(where)
+            warehouse.drop_partition(name, schema, column, value)
     return deleted
 
 

@@ -24,8 +24,14 @@ def session_id(user: str, number: str | Column) -> Column:
     return F.concat(F.col(user), F.lit("_sess_"), F.lpad(number.cast("string"), 6, "0"))
 
 
-def _numbered(df: DataFrame, user: str, ts: str, gap_minutes: int) -> DataFrame:
-    """One row per (user, bucket) with its session number and span."""
+def _numbered(
+    df: DataFrame, user: str, ts: str, gap_minutes: int, carry: DataFrame | None = None
+) -> DataFrame:
+    """One row per (user, bucket) with its session number and span.
+
+    ``carry`` (user, last_seen, last_session) continues the numbering of earlier
+    data: its rows act as one more, already numbered event ahead of the others.
+    """
     spans = (
         df.where(F.col(ts).isNotNull())
         .groupBy(user, time_bucket(ts, _bucket_seconds(gap_minutes)).alias("_bucket"))
@@ -35,11 +41,32 @@ def _numbered(df: DataFrame, user: str, ts: str, gap_minutes: int) -> DataFrame:
             F.count("*").alias("_events"),
         )
     )
-    timeline = Window.partitionBy(user).orderBy("_bucket")
+    base = F.lit(None).cast("bigint")
+    spans = spans.withColumn("_base", base)
+    if carry is not None:
+        spans = spans.unionByName(
+            carry.select(
+                user,
+                time_bucket("last_seen", _bucket_seconds(gap_minutes)).alias("_bucket"),
+                F.col("last_seen").alias("_start"),
+                F.col("last_seen").alias("_end"),
+                F.lit(0).cast("bigint").alias("_events"),
+                F.col("last_session").cast("bigint").alias("_base"),
+            )
+        )
+    timeline = Window.partitionBy(user).orderBy("_bucket", "_start")
     idle = epoch_seconds("_start") - F.lag(epoch_seconds("_end")).over(timeline)
-    opens = F.when(idle.isNull() | (idle > gap_minutes * 60), 1).otherwise(0)
-    return spans.withColumn("_opens", opens).withColumn(
-        "_session", F.sum("_opens").over(timeline)
+    opens = F.when(
+        F.col("_base").isNull() & (idle.isNull() | (idle > gap_minutes * 60)), 1
+    ).otherwise(0)
+    return (
+        spans.withColumn("_opens", opens)
+        .withColumn(
+            "_session",
+            F.sum("_opens").over(timeline)
+            + F.coalesce(F.first("_base", ignorenulls=True).over(timeline), F.lit(0)),
+        )
+        .where(F.col("_events") > 0)
     )
 
 
@@ -48,9 +75,14 @@ def sessionize(
     user_column: str = "user_id",
     timestamp_column: str = "timestamp",
     gap_minutes: int = 30,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``computed_session_id``; a gap strictly longer than the limit opens a session."""
-    numbers = _numbered(df, user_column, timestamp_column, gap_minutes).select(
+    """Add ``computed_session_id``; a gap strictly longer than the limit opens a session.
+
+    With ``carry`` (see ``session_state``) sessions and numbers continue those of
+    the days before.
+    """
+    numbers = _numbered(df, user_column, timestamp_column, gap_minutes, carry).select(
         user_column, "_bucket", "_session"
     )
     bucketed = df.withColumn(
@@ -63,6 +95,26 @@ def sessionize(
     )
 
 
+def session_state(
+    sessions: DataFrame,
+    previous: DataFrame | None = None,
+    user_column: str = "user_id",
+    timestamp_column: str = "timestamp",
+) -> DataFrame:
+    """Per user when they were last seen and in which session, for the next day's ``carry``."""
+    number = F.substring_index("computed_session_id", "_", -1).cast("bigint")
+    seen = sessions.select(
+        user_column, F.col(timestamp_column).alias("last_seen"), number.alias("last_session")
+    )
+    if previous is not None:
+        seen = seen.unionByName(previous)
+    return (
+        seen.where(F.col(user_column).isNotNull() & F.col("last_seen").isNotNull())
+        .groupBy(user_column)
+        .agg(F.max("last_seen").alias("last_seen"), F.max("last_session").alias("last_session"))
+    )
+
+
 def session_summary(
     df: DataFrame,
     user_column: str = "user_id",

@@ -35,8 +35,7 @@ class Warehouse:
         return fs.exists(path)
 
     def read(self, table: str, schema: str = "WAREHOUSE") -> DataFrame:
-        # Union of the writes' columns: later loads may know more columns.
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(schema, table))
+        return self.spark.read.parquet(self.path(schema, table))
 
     def write(
         self,
@@ -62,15 +61,15 @@ class Warehouse:
         writer.parquet(self.path(schema, table))
 
     def partitions(self, table: str, schema: str = "WAREHOUSE") -> list[tuple[str, str]]:
-        """(value, path) of the first-level partitions; folder names only, no data."""
+        """(column, value) of the first-level partitions; folder names only, no data."""
         fs, path = self._fs(self.path(schema, table))
         if not fs.exists(path):
             return []
-        names = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(path)]
-        return sorted((name.split("=", 1)[1], where) for name, where in names if "=" in name)
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        return sorted(tuple(name.split("=", 1)) for name in names if "=" in name)
 
-    def drop_partition(self, where: str) -> None:
-        fs, path = self._fs(where)
+    def drop_partition(self, table: str, schema: str, column: str, value: str) -> None:
+        fs, path = self._fs(f"{self.path(schema, table)}/{column}={value}")
         fs.delete(path, True)
 
     def write_snapshot(self, df: DataFrame, table: str, day: str) -> None:
@@ -83,7 +82,7 @@ class Warehouse:
 
     def read_snapshot(self, table: str, day: str, before: bool = False) -> DataFrame | None:
         """The newest snapshot up to ``day`` (or strictly before it), if any."""
-        days = [d for d, _ in self.partitions(table) if d < day or (d == day and not before)]
+        days = [d for _, d in self.partitions(table) if d < day or (d == day and not before)]
         if not days:
             return None
         newest = F.col("snapshot") == F.lit(max(days)).cast("date")

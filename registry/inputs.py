@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.plans.dims import merge_users, seed_models, seed_plans, user_changes
-from tidemark.session import configure
+from tidemark.session import configure, cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -237,8 +237,18 @@ def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dimension after all user events."""
-    return merge_users(dim_users(spark, sf_dir), user_changes(user_events(spark, sf_dir)))
+    """The dimension after all user events, and a repeat of what is known of plus users."""
+    known = dim_users(spark, sf_dir).where("is_current and user_tier = 'plus'")
+    repeated = known.drop("valid_from", "valid_to", "is_current").withColumn(
+        "changed_at", F.lit("2023-12-01").cast("timestamp_ntz")
+    )
+    changes = user_changes(user_events(spark, sf_dir)).unionByName(repeated)
+    return merge_users(dim_users(spark, sf_dir), changes)
+
+
+def stored_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged dimension as a job would find it, written down."""
+    return cut_lineage(merged_users(spark, sf_dir))
 
 
 def safety_events(spark: SparkSession, sf_dir: str) -> DataFrame:

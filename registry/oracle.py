@@ -147,13 +147,19 @@ PARTS: dict[str, tuple[str, list[str]]] = {
                false as is_current) from cur where c_acctbal >= 5000""",
         ["cur"],
     ),
+    "batch": (
+        """select * from changes union all by name
+           select * exclude (valid_from, valid_to, is_current, c_acctbal),
+               timestamp '2023-12-01' as changed_at from cur where user_tier = 'plus'""",
+        ["changes", "cur"],
+    ),
     # The merge as one chain per user: the open version first, then the changes.
     "chain0": (
         """select user_id, email_hash, display_name, country_code, user_tier, organization_id,
                platform, signup_date, account_status, valid_from as since, false as incoming from cur
            union all by name
-           select * exclude (changed_at), changed_at as since, true as incoming from changes""",
-        ["cur", "changes"],
+           select * exclude (changed_at), changed_at as since, true as incoming from batch""",
+        ["cur", "batch"],
     ),
     "chain1": (
         """select user_id, since, incoming, """
@@ -197,10 +203,10 @@ PARTS: dict[str, tuple[str, list[str]]] = {
                case when incoming and is_new_user then 'new_key' when incoming then 'new_version'
                     when valid_to is not null then 'expired'
                     when b.user_id is not null then 'unchanged' else 'untouched' end as change_kind
-           from versions v left join (select distinct user_id from changes) b on v.user_id = b.user_id
+           from versions v left join (select distinct user_id from batch) b on v.user_id = b.user_id
            union all by name
            select *, 'history' as change_kind from dim where not is_current""",
-        ["versions", "changes", "dim"],
+        ["versions", "batch", "dim"],
     ),
     "safety": (
         f"""select cast(event_id as varchar) as event_id, ts as event_timestamp,

@@ -360,7 +360,7 @@ QUERIES["scd2_history"] = _merged_rows("history")
 @query
 def scd2_one_current(spark, sf_dir):
     """Current rows per user and users breaking the rule of one, after the merge."""
-    merged = inputs.merged_users(spark, sf_dir)
+    merged = inputs.stored_users(spark, sf_dir)
     broken = keys_with_many_current(merged, "user_id")
     return merged.where("is_current").agg(
         F.count("*").alias("current_rows"), F.count_distinct("user_id").alias("users")
@@ -420,14 +420,14 @@ def dim_time(spark, sf_dir):
 def pit_user_join(spark, sf_dir):
     """Each conversation event with the tier its user had at that time."""
     events = inputs.conversation_events(spark, sf_dir).select("event_id", "user_id", TS)
-    versions = inputs.merged_users(spark, sf_dir)
+    versions = inputs.stored_users(spark, sf_dir)
     return joins.join_valid_at(events, versions, "user_id", TS, ["user_tier", "country_code"])
 
 
 @query
 def fact_with_keys(spark, sf_dir):
     fact = inputs.api_usage_events(spark, sf_dir).select("event_id", "user_id", "model_id", TS)
-    users = inputs.merged_users(spark, sf_dir)
+    users = inputs.stored_users(spark, sf_dir)
     keyed = joins.resolve_keys(fact, TS, dim_users=users, dim_models=inputs.models(spark))
     return keyed.select("event_id", "date_key", "user_sk", "model_sk")
 

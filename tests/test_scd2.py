@@ -7,7 +7,7 @@ from tidemark.operators.scd2 import (
     apply_scd_type2,
     empty_dimension,
     keys_with_many_current,
-    split_late_changes,
+    late_changes,
 )
 from tidemark.plans.dims import merge_users, user_changes
 
@@ -118,7 +118,7 @@ def test_late_changes_are_reported_not_applied(spark):
     incoming = batch(
         spark, ("u1", "plus", "US", None, at(50)), ("u1", "enterprise", "US", None, at(150))
     )
-    _, late = split_late_changes(existing, incoming, "user_id", "changed_at")
+    late = late_changes(existing, incoming, "user_id", "changed_at")
     assert [r.user_tier for r in late.collect()] == ["plus"]
     assert late.columns == incoming.columns
     assert "plus" not in {r.user_tier for r in merge(existing, incoming).collect()}

@@ -5,6 +5,8 @@ No Python worker is involved; the regexes run inside the JVM over whole texts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
@@ -36,6 +38,29 @@ INJECTION_RULES = [
 ]
 
 
+# Words each match of the rule contains, whatever its case.
+INJECTION_WORDS = [
+    ["ignore", "previous", "instructions"],
+    ["ignore", "prior", "instructions"],
+    ["you", "are", "now"],
+    ["pretend"],
+    ["act", "as", "if", "you"],
+    ["system:"],
+    ["<|im_start|>system"],
+    ["<|endoftext|>"],
+    ["admin", "override"],
+    ["dan", "mode"],
+    ["do", "anything", "now"],
+    ["developer", "mode"],
+    ["bypass", "filter"],
+    ["base64", "decode"],
+    ["\\x"],
+]
+
+# The letters beyond ASCII that equal an ASCII letter when case is ignored.
+CASE_TWINS = ["\u017f", "\u212a", "\u0130", "\u0131"]
+
+
 def _unicode(pattern: str, flags: str = "U") -> str:
     r"""Java spelling of a pattern whose ``\s``, ``\d`` and ``\b`` are Unicode-aware.
 
@@ -46,12 +71,20 @@ def _unicode(pattern: str, flags: str = "U") -> str:
 
 
 def mask_pii(text: Column) -> Column:
-    """Replace e-mail addresses, phone numbers, SSNs and IPs, in that order."""
-    for pattern, mark in PII_RULES:
-        masked = F.regexp_replace(text, _unicode(pattern), mark)
-        # Texts without an @ hold no address; skipping them avoids the search.
-        text = F.when(text.contains("@"), masked).otherwise(text) if "@" in pattern else masked
-    return text
+    """Replace e-mail addresses, phone numbers, SSNs and IPs, in that order.
+
+    Texts without an @ hold no address, and the other rules need three digits in
+    a row or a dot between two; one search for these spares most texts the rest.
+    """
+    has_digits = text.rlike(r"\p{Nd}(\p{Nd}{2}|\.\p{Nd})")
+    (address, address_mark), *others = PII_RULES
+    body = F.when(
+        text.contains("@"), F.regexp_replace(text, _unicode(address), address_mark)
+    ).otherwise(text)
+    masked = body
+    for pattern, mark in others:
+        masked = F.regexp_replace(masked, _unicode(pattern), mark)
+    return F.when(has_digits, masked).otherwise(body)
 
 
 def apply_pii_masking(df: DataFrame, text_columns: list[str]) -> DataFrame:
@@ -74,19 +107,27 @@ def injection_verdict(text: Column) -> Column:
     """Struct of ``score`` and ``pattern`` for the strongest rule.
 
     A rule scores weight x matches, at most 1. Of equal scores the rule listed
-    first wins; without a match the verdict is 0.0 / "none".
+    first wins; without a match the verdict is 0.0 / "none". A rule's regex runs
+    only where its words occur.
     """
     body = F.coalesce(text, F.lit(""))
+    folded = F.lower(body)
+    twins = reduce(lambda a, b: a | b, [body.contains(c) for c in CASE_TWINS])
+
+    def hits(pattern: str, words: list[str]) -> Column:
+        possible = twins | reduce(lambda a, b: a & b, [folded.contains(w) for w in words])
+        found = F.regexp_count(body, F.lit(_unicode(pattern, "iU")))
+        return F.when(possible, found).otherwise(F.lit(0))
+
     scored = [
         F.struct(
-            F.least(
-                F.regexp_count(body, F.lit(_unicode(pattern, "iU"))) * F.lit(weight),
-                F.lit(1.0),
-            ).alias("score"),
+            F.least(hits(pattern, words) * F.lit(weight), F.lit(1.0)).alias("score"),
             F.lit(-place).alias("place"),
             F.lit(category).alias("pattern"),
         )
-        for place, (pattern, weight, category) in enumerate(INJECTION_RULES)
+        for place, ((pattern, weight, category), words) in enumerate(
+            zip(INJECTION_RULES, INJECTION_WORDS, strict=True)
+        )
     ]
     nothing = F.struct(
         F.lit(0.0).alias("score"), F.lit(1).alias("place"), F.lit("none").alias("pattern")

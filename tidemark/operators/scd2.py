@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.enrich import surrogate_key as make_key
 from ..functions.timestamps import time_bucket
 from ..session import cut_lineage
-from .skew import spread_join
+from .skew import lookup_join
 from .timeline import BUCKET_SECONDS, carry_in, next_start
 
 
@@ -43,18 +43,28 @@ def _key_state(existing: DataFrame, key: str, attributes: list[str]) -> DataFram
     )
 
 
-def split_late_changes(
+def _judge(
+    existing: DataFrame, incoming: DataFrame, key: str, effective: str
+) -> DataFrame:
+    """Incoming rows with their key's state and whether they come too late."""
+    attributes = [c for c in existing.columns if c in incoming.columns and c != key]
+    state = _key_state(existing, key, attributes)
+    judged = lookup_join(incoming, state, [key], bounded_by=existing)
+    return judged.withColumn(
+        "_late", F.coalesce(F.col(effective) <= F.col("_floor"), F.lit(False))
+    )
+
+
+def late_changes(
     existing: DataFrame, incoming: DataFrame, natural_key: str, effective_column: str
-) -> tuple[DataFrame, DataFrame]:
-    """(accepted, late): a change at or before the key's settled time is late.
+) -> DataFrame:
+    """Changes at or before their key's settled time.
 
-    Late changes would rewrite closed versions; they are reported, not applied.
+    They would rewrite closed versions; the merge leaves them out, and a caller
+    can report them with this.
     """
-    attributes = [c for c in existing.columns if c in incoming.columns and c != natural_key]
-    state = _key_state(existing, natural_key, attributes)
-    judged = spread_join(incoming, state, [natural_key])
-    is_late = F.coalesce(F.col(effective_column) <= F.col("_floor"), F.lit(False))
-    return judged.where(~is_late), judged.where(is_late).drop("_floor", "_open")
+    judged = _judge(existing, incoming, natural_key, effective_column)
+    return judged.where("_late").drop("_floor", "_open", "_late")
 
 
 def _differs(columns: list[str], other: str) -> Column:
@@ -144,17 +154,27 @@ def apply_scd_type2(
             existing = existing.withColumn(c, F.lit(None).cast(incoming_data.schema[c].dataType))
     existing = existing.select(natural_key, *attributes, "valid_from", "valid_to", "is_current")
 
-    accepted, _ = split_late_changes(existing, incoming_data, natural_key, effective_column)
+    # Read several times below: to number, to fill and to tell which keys it holds.
+    judged = cut_lineage(_judge(existing, incoming_data, natural_key, effective_column))
     fresh = _new_versions(
-        accepted, natural_key, attributes, tracked_columns, effective_column, bucket_seconds
+        judged.where(~F.col("_late")),
+        natural_key,
+        attributes,
+        tracked_columns,
+        effective_column,
+        bucket_seconds,
     )
 
-    batch = incoming_data.groupBy(natural_key).agg(F.lit(True).alias("_in_batch"))
-    closing = fresh.groupBy(natural_key).agg(F.min("valid_from").alias("_closes"))
+    never = F.lit(None).cast(incoming_data.schema[effective_column].dataType)
+    batch = (
+        judged.select(natural_key, never.alias("_start"))
+        .unionByName(fresh.select(natural_key, F.col("valid_from").alias("_start")))
+        .groupBy(natural_key)
+        .agg(F.min("_start").alias("_closes"), F.lit(True).alias("_in_batch"))
+    )
     is_open = F.col("is_current")
     settled = (
         existing.join(batch, natural_key, "left")
-        .join(closing, natural_key, "left")
         .withColumns(
             {
                 "change_kind": F.when(~is_open, "history")

@@ -88,8 +88,14 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_rows: int = LOOKUP_ROWS,
+    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Join to a dimension: broadcast when a count proves it small, salted otherwise."""
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    """Join to a dimension: broadcast when a count proves it small, salted otherwise.
+
+    ``bounded_by`` is a frame with at least as many rows that is cheaper to count
+    (the input of the aggregation that made ``lookup``).
+    """
+    sized = lookup if bounded_by is None else bounded_by
+    if sized.limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(lookup), on, how)
     return spread_join(rows, lookup, on, how)

@@ -381,9 +381,9 @@ def engagement(where: str) -> str:
         unique_models_used, round(o.per_session, 6) as avg_messages_per_session from (
         select week_start, user_tier, count(distinct session_id) as total_sessions,
             count(*) as total_messages, round(avg(total_tokens), 6) as avg_tokens_per_message,
-            cast(quantile_disc(latency_ms, 0.5) as double) as p50_latency_ms,
-            cast(quantile_disc(latency_ms, 0.95) as double) as p95_latency_ms,
-            cast(quantile_disc(latency_ms, 0.99) as double) as p99_latency_ms,
+            quantile_disc(latency_ms, 0.5) as p50_latency_ms,
+            quantile_disc(latency_ms, 0.95) as p95_latency_ms,
+            quantile_disc(latency_ms, 0.99) as p99_latency_ms,
             count(distinct model_id) as unique_models_used
         from (select c.*, d.user_tier, cast(date_trunc('week', event_timestamp) as date) as week_start
               from conv c left join (select * from dim where is_current) d on c.user_id = d.user_id
@@ -449,7 +449,7 @@ BOARD = f"""select '{DAY}' as event_date, s.*, q.* from (
     from quar {{join}} where cast(quarantined_at as date) = date '{DAY}') q"""
 
 BOARD_EXTRA = """, round(count(*) filter (where review_outcome = 'false_positive')
-    / count(review_outcome)::double, 6) as false_positive_rate,
+    / nullif(count(review_outcome), 0)::double, 6) as false_positive_rate,
     round(avg((epoch_us(quarantined_at) - epoch_us(first_signal)) / 1000000::double), 3)
         as mean_time_to_detect_seconds"""
 BOARD_JOIN = """left join (select user_id as u, min(event_timestamp) as first_signal from safety
@@ -461,19 +461,6 @@ ZSCORE = """(select s.*, case when sd is not null and sd > 0 and n >= 5
         stddev_samp(user_violation_count_30d) as sd, count(*) as n from safety group by user_id) g
     on s.user_id = g.user_id)"""
 
-# The other values of the user, one by one: sums without the row itself.
-ZSCORE_OTHERS = """(select event_id, user_id, case when n >= 5 and others_sd > 0
-    then abs((x - others_mean) / others_sd) else 0 end as z from (
-    select event_id, user_id, x, n, (t - x) / (n - 1)::double as others_mean,
-        case when sd is null or sd = 0 then null else
-        sqrt(greatest(0, (t2 - x * x - (t - x) * (t - x) / (n - 1)::double) / (n - 2))) end as others_sd
-    from (select event_id, user_id, user_violation_count_30d as x, count(*) over u as n,
-            sum(user_violation_count_30d) over u as t,
-            sum(user_violation_count_30d * user_violation_count_30d) over u as t2,
-            stddev_samp(user_violation_count_30d) over u as sd
-          from safety window u as (partition by user_id))))"""
-
-
 def rates(multiplier: float) -> str:
     return f"""with_counts as (select user_id, count(*) as request_count from api group by user_id)
         select user_id, request_count, request_count > (select coalesce(avg(request_count), 0)
@@ -665,7 +652,8 @@ ORACLE: dict[str, str] = {
     ),
     "write_partition_roundtrip": sql(
         f"""select cast(cast(event_timestamp as date) as varchar) as dt, count(*) as calls,
-            round(sum({COST}), 6) as cost_usd from api group by 1""",
+            cast(sum(cast({COST} as decimal(18,9))) as double) as cost_usd
+            from api group by 1""",
         "api",
     ),
     "backfill_jsonl_flatten": sql(
@@ -884,9 +872,9 @@ ORACLE: dict[str, str] = {
         "conv",
     ),
     "latency_percentiles": sql(
-        """select model_id, cast(quantile_disc(latency_ms, 0.5) as double) as p50_latency_ms,
-            cast(quantile_disc(latency_ms, 0.95) as double) as p95_latency_ms,
-            cast(quantile_disc(latency_ms, 0.99) as double) as p99_latency_ms from api group by model_id""",
+        """select model_id, quantile_disc(latency_ms, 0.5) as p50_latency_ms,
+            quantile_disc(latency_ms, 0.95) as p95_latency_ms,
+            quantile_disc(latency_ms, 0.99) as p99_latency_ms from api group by model_id""",
         "api",
     ),
     "monthly_revenue": sql(
@@ -932,12 +920,7 @@ ORACLE: dict[str, str] = {
         "safety",
     ),
     "zscore_flagged": sql(
-        f"select event_id, user_id, user_violation_count_30d from {ZSCORE} where z > 2.5", "safety"
-    ),
-    "zscore_leave_one_out": sql(
-        f"""select event_id, user_id, round(z, 4) as anomaly_zscore, z > 3 as is_anomaly
-            from {ZSCORE_OTHERS}""",
-        "safety",
+        f"select event_id, user_id, user_violation_count_30d from {ZSCORE} where z > 3", "safety"
     ),
     "rate_anomalies": sql("@", "api").replace(" @", ", " + rates(5.0)),
     "rate_anomalies_2sd": sql("@", "api").replace(" @", ", " + rates(2.0)),

@@ -84,11 +84,9 @@ def write_partition_roundtrip(spark, sf_dir):
     again = fact.where(on_day(TS, DAY))
     warehouse.write(again, "FACT_API_USAGE", mode="replace", partition_by=["dt"])
     stored = warehouse.read("FACT_API_USAGE")
-    return rounded(
-        stored.groupBy("dt").agg(
-            F.count("*").alias("calls"), F.sum("estimated_cost_usd").alias("cost_usd")
-        ),
-        "cost_usd",
+    return stored.groupBy("dt").agg(
+        F.count("*").alias("calls"),
+        F.sum(F.col("estimated_cost_usd").cast("decimal(18,9)")).alias("cost_usd"),
     )
 
 
@@ -570,21 +568,11 @@ def zscore_anomalies(spark, sf_dir):
 @query
 def zscore_flagged(spark, sf_dir):
     scored = anomalies.detect_zscore_anomalies(
-        inputs.safety_events(spark, sf_dir), "user_violation_count_30d", threshold=2.5
+        inputs.safety_events(spark, sf_dir), "user_violation_count_30d"
     )
     return scored.where("is_anomaly").select("event_id", "user_id", "user_violation_count_30d")
 
 
-@query
-def zscore_leave_one_out(spark, sf_dir):
-    scored = anomalies.detect_zscore_anomalies(
-        inputs.safety_events(spark, sf_dir), "user_violation_count_30d", leave_one_out=True
-    )
-    return rounded(
-        scored.select("event_id", "user_id", "anomaly_zscore", "is_anomaly"), "anomaly_zscore", digits=4
-    )
-
-
 @query
 def rate_anomalies(spark, sf_dir):
     return anomalies.detect_rate_anomalies(inputs.api_usage_events(spark, sf_dir))

@@ -14,34 +14,27 @@ def detect_zscore_anomalies(
     metric_col: str,
     group_col: str = "user_id",
     threshold: float = 3.0,
-    leave_one_out: bool = False,
 ) -> DataFrame:
     """Add ``anomaly_zscore`` and ``is_anomaly`` (score strictly above the threshold).
 
     The score is 0 for groups with under five rows or no spread. A value is part
-    of its own baseline, so no score can exceed (n - 1) / sqrt(n) and groups of up
-    to ten rows never pass 3; ``leave_one_out`` compares each value with the others.
+    of its own baseline, so no score can exceed (n - 1) / sqrt(n): groups of up to
+    ten rows never pass 3.
     """
     x = F.col(metric_col).cast("double")
     baseline = df.groupBy(group_col).agg(
         F.avg(x).alias("_mean"),
         F.stddev_samp(x).alias("_sd"),
         F.count("*").alias("_size"),
-        F.count(x).alias("_n"),
     )
     mean, sd = F.col("_mean"), F.col("_sd")
-    if leave_one_out:
-        n = F.col("_n")
-        others_mean = (n * mean - x) / (n - 1)
-        others_var = ((n - 1) * sd * sd - (x - mean) * (x - others_mean)) / (n - 2)
-        mean, sd = others_mean, F.sqrt(F.greatest(others_var, F.lit(0.0)))
-    usable = F.col("_sd").isNotNull() & (F.col("_sd") > 0) & (F.col("_size") >= MIN_SAMPLES)
+    usable = sd.isNotNull() & (sd > 0) & (F.col("_size") >= MIN_SAMPLES)
     scored = spread_join(df, baseline, [group_col]).withColumn(
         "anomaly_zscore",
-        F.when(usable & (sd > 0), F.abs((x - mean) / sd)).otherwise(F.lit(0.0)),
+        F.when(usable, F.abs((x - mean) / sd)).otherwise(F.lit(0.0)),
     )
     return scored.withColumn("is_anomaly", F.col("anomaly_zscore") > F.lit(threshold)).drop(
-        "_mean", "_sd", "_size", "_n"
+        "_mean", "_sd", "_size"
     )
 
 

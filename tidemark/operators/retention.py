@@ -7,6 +7,7 @@ import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import small_table
 from ..sources.warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -33,8 +34,8 @@ def timestamp_column(table: str) -> str:
 
 def policies(spark: SparkSession) -> DataFrame:
     rows = [(t, d, timestamp_column(t)) for t, d in RETENTION_DAYS.items()]
-    return spark.createDataFrame(
-        rows, "table_name string, retention_days int, timestamp_column string"
+    return small_table(
+        spark, rows, "table_name string, retention_days int, timestamp_column string"
     )
 
 

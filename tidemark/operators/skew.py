@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 HEAVY_KEYS = 512
 SPREAD = 64
-LOOKUP_ROWS = 200_000
+LOOKUP_ROWS = 100_000
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -96,6 +96,7 @@ def lookup_join(
     (the input of the aggregation that made ``lookup``).
     """
     sized = lookup if bounded_by is None else bounded_by
-    if sized.limit(max_rows + 1).count() <= max_rows:
+    # take() reads partition after partition and stops at the limit; no column is read.
+    if len(sized.select(F.lit(1)).take(max_rows + 1)) <= max_rows:
         return rows.join(F.broadcast(lookup), on, how)
     return spread_join(rows, lookup, on, how)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-BUCKET_SECONDS = 3600
+BUCKET_SECONDS = 300
 
 
 def carry_in(

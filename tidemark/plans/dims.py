@@ -8,6 +8,7 @@ from ..functions.enrich import surrogate_key
 from ..operators.dedup import deduplicate_events
 from ..operators.joins import date_key, merge_insert_if_absent
 from ..operators.scd2 import apply_scd_type2, empty_dimension
+from ..session import small_table
 
 # The user attributes whose change opens a new version.
 TRACKED_COLUMNS = ["user_tier", "country_code", "display_name", "organization_id", "account_status"]
@@ -63,14 +64,14 @@ def merge_users(existing: DataFrame | None, changes: DataFrame) -> DataFrame:
 
 def seed_models(spark: SparkSession, existing: DataFrame | None = None) -> DataFrame:
     """Model dimension; seeds are added where the model is not known yet."""
-    seed = spark.createDataFrame(
+    seed = small_table(
+        spark,
         MODEL_SEED,
         "model_id string, model_family string, model_version string, context_window int, "
         "max_output_tokens int, usd_per_1m_input double, usd_per_1m_output double, "
-        "release_date string",
+        "release_date date",
     ).withColumns(
         {
-            "release_date": F.col("release_date").cast("date"),
             "is_deprecated": F.lit(False),
             "model_sk": F.md5("model_id"),
         }
@@ -80,7 +81,8 @@ def seed_models(spark: SparkSession, existing: DataFrame | None = None) -> DataF
 
 def seed_plans(spark: SparkSession, valid_from: str, existing: DataFrame | None = None) -> DataFrame:
     """Plan dimension, seeded likewise; seeds are valid from the given day."""
-    seed = spark.createDataFrame(
+    seed = small_table(
+        spark,
         PLAN_SEED,
         "plan_id string, plan_name string, monthly_price_usd double, annual_price_usd double, "
         "rate_limit_rpm int, max_tokens_per_day int",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.timestamps import on_day
 from ..operators.skew import lookup_join
@@ -91,27 +91,38 @@ def month_start(ts: str | Column) -> Column:
     return F.trunc(ts, "month")
 
 
-def _latency_percentiles(accuracy: int | None) -> list[Column]:
-    """p50, p95, p99 as values that occur in the data.
-
-    Exact by default: latencies are whole milliseconds, so the buffer holds one
-    count per distinct value and merges map-side. With ``accuracy`` a sketch is
-    used, for latencies of unbounded resolution.
-    """
-    wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    if accuracy is None:
-        return [
-            F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY latency_ms)").alias(f"{p}_latency_ms")
-            for p, q in wanted.items()
-        ]
-    return [
-        F.percentile_approx("latency_ms", q, accuracy).alias(f"{p}_latency_ms")
-        for p, q in wanted.items()
-    ]
+PERCENTILES = {"p50_latency_ms": 50, "p95_latency_ms": 95, "p99_latency_ms": 99}
 
 
 def latency_percentiles(facts: DataFrame, by: list[str], accuracy: int | None = None) -> DataFrame:
-    return facts.groupBy(*by).agg(*_latency_percentiles(accuracy))
+    """p50, p95 and p99 of ``latency_ms`` per group, as values that occur in the data.
+
+    Exact by default. Latencies are whole milliseconds, so rows are first counted
+    per distinct value, which spreads a large group over many tasks; the running
+    sum then sees one row per value. With ``accuracy`` a sketch per group is used,
+    for latencies of unbounded resolution.
+    """
+    latency = F.col("latency_ms")
+    if accuracy is not None:
+        return facts.groupBy(*by).agg(
+            *[F.percentile_approx(latency, p / 100, accuracy).alias(n) for n, p in PERCENTILES.items()]
+        )
+    counts = (
+        facts.where(latency.isNotNull()).groupBy(*by, "latency_ms").agg(F.count("*").alias("_n"))
+    )
+    group = Window.partitionBy(*by)
+    placed = counts.withColumns(
+        {
+            "_upto": F.sum("_n").over(group.orderBy("latency_ms")),
+            "_all": F.sum("_n").over(group),
+        }
+    )
+    return placed.groupBy(*by).agg(
+        *[
+            F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * p, latency)).alias(n)
+            for n, p in PERCENTILES.items()
+        ]
+    )
 
 
 def messages_per_session(messages: DataFrame, *periods: str) -> DataFrame:
@@ -122,13 +133,17 @@ def messages_per_session(messages: DataFrame, *periods: str) -> DataFrame:
 
 
 def _engagement(messages: DataFrame, by: list[str], accuracy: int | None) -> DataFrame:
-    return messages.groupBy(*by).agg(
+    counted = messages.groupBy(*by).agg(
         F.count_distinct("session_id").alias("total_sessions"),
         F.count("*").alias("total_messages"),
         F.avg("total_tokens").alias("avg_tokens_per_message"),
-        *_latency_percentiles(accuracy),
         F.count_distinct("model_id").alias("unique_models_used"),
     )
+    both = counted.unionByName(
+        latency_percentiles(messages, by, accuracy), allowMissingColumns=True
+    )
+    # One row of each kind per group; unlike a join this keeps the NULL tier together.
+    return both.groupBy(*by).agg(*[F.max(c).alias(c) for c in both.columns if c not in by])
 
 
 def _messages_with_tier(conversations: DataFrame, dim_users: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 # Shuffle width is left to the cluster: AQE starts wide and coalesces by size.
 RUNTIME_CONF = {
@@ -41,6 +42,19 @@ def local_session(app: str = "tidemark", cores: str = "8", **conf: str) -> Spark
     return spark
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Fixed rows as a local relation, whose size the planner knows."""
+    names = [field.strip().split(" ")[0] for field in schema.split(",")]
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    table = spark.createDataFrame(pa.table(columns))
+    return table.select(
+        *[
+            table[name].cast(field.strip().split(" ", 1)[1]).alias(name)
+            for name, field in zip(names, schema.split(","))
+        ]
+    )
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -61,7 +75,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so a lost executor does not replay the upstream work."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from conftest import at, plan_of
 
 from tidemark.operators.joins import (
@@ -17,7 +18,8 @@ VERSIONS = (
 )
 
 
-def test_point_in_time_matches_brute_force(spark):
+@pytest.mark.parametrize("rows_per_key", [1_000_000, 0])
+def test_point_in_time_matches_brute_force(spark, rows_per_key):
     dice = random.Random(3)
     versions = []
     for user in ("hot", "a", "b"):
@@ -43,6 +45,7 @@ def test_point_in_time_matches_brute_force(spark):
         "user_id",
         "event_timestamp",
         ["user_sk", "user_tier"],
+        rows_per_key=rows_per_key,
     )
     assert {r.event_id: r.user_sk for r in out.collect()} == expected
     assert out.columns == ["event_id", "user_id", "event_timestamp", "user_sk", "user_tier"]

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
@@ -31,8 +32,13 @@ def batch(spark, *rows):
     return spark.createDataFrame(list(rows), INCOMING)
 
 
-def merge(existing, incoming, **more):
-    return apply_scd_type2(existing, incoming, "user_id", TRACKED, "changed_at", **more)
+@pytest.fixture(params=["whole keys", "bucketed"])
+def merge(request):
+    """Both ways to build the chain: per key, and cut into buckets of 15 minutes."""
+    way = {} if request.param == "whole keys" else {"rows_per_key": 0, "bucket_seconds": 900}
+    return lambda existing, incoming: apply_scd_type2(
+        existing, incoming, "user_id", TRACKED, "changed_at", **way
+    )
 
 
 def rows_of(df):
@@ -42,20 +48,20 @@ def rows_of(df):
     )
 
 
-def test_new_keys_open_versions(spark):
+def test_new_keys_open_versions(spark, merge):
     incoming = batch(spark, ("u1", "free", "US", None, at(0)), ("u2", "plus", "DE", None, at(0)))
     out = merge(empty_dimension(incoming, "changed_at"), incoming)
     assert out.count() == 2 and out.where("is_current").count() == 2
     assert {r.change_kind for r in out.collect()} == {"new_key"}
 
 
-def test_unchanged_rows_stay_single(spark):
+def test_unchanged_rows_stay_single(spark, merge):
     existing = dim(spark, ("u1", "free", "US", None, at(0), None, True))
     out = merge(existing, batch(spark, ("u1", "free", "US", "org", at(10))))
     assert rows_of(out) == [("u1", at(0), None, True, "free", "US", "unchanged")]
 
 
-def test_change_closes_and_opens(spark):
+def test_change_closes_and_opens(spark, merge):
     existing = dim(spark, ("u1", "free", "US", None, at(0), None, True))
     out = merge(existing, batch(spark, ("u1", "plus", "US", None, at(10))))
     assert rows_of(out) == [
@@ -64,7 +70,7 @@ def test_change_closes_and_opens(spark):
     ]
 
 
-def test_closed_history_of_batch_keys_survives(spark):
+def test_closed_history_of_batch_keys_survives(spark, merge):
     existing = dim(
         spark,
         ("u1", "plus", "US", None, at(-100), at(0), False),
@@ -83,13 +89,13 @@ def test_closed_history_of_batch_keys_survives(spark):
     ]
 
 
-def test_reopened_key_gets_a_new_version(spark):
+def test_reopened_key_gets_a_new_version(spark, merge):
     existing = dim(spark, ("u1", "free", "US", None, at(-100), at(-50), False))
     out = merge(existing, batch(spark, ("u1", "free", "US", None, at(10))))
     assert [r.change_kind for r in out.orderBy("valid_from").collect()] == ["history", "new_version"]
 
 
-def test_several_changes_form_a_chain_with_one_current(spark):
+def test_several_changes_form_a_chain_with_one_current(spark, merge):
     incoming = batch(
         spark,
         ("u1", "free", "US", None, at(0)),
@@ -106,14 +112,14 @@ def test_several_changes_form_a_chain_with_one_current(spark):
     assert keys_with_many_current(out, "user_id").isEmpty()
 
 
-def test_null_attributes_are_carried_from_the_open_version(spark):
+def test_null_attributes_are_carried_from_the_open_version(spark, merge):
     existing = dim(spark, ("u1", "free", "US", "org", at(0), None, True))
     out = merge(existing, batch(spark, ("u1", "plus", None, None, at(10)))).where("is_current")
     row = out.first()
     assert (row.user_tier, row.country_code, row.organization_id) == ("plus", "US", "org")
 
 
-def test_late_changes_are_reported_not_applied(spark):
+def test_late_changes_are_reported_not_applied(spark, merge):
     existing = dim(spark, ("u1", "free", "US", None, at(100), None, True))
     incoming = batch(
         spark, ("u1", "plus", "US", None, at(50)), ("u1", "enterprise", "US", None, at(150))
@@ -124,7 +130,7 @@ def test_late_changes_are_reported_not_applied(spark):
     assert "plus" not in {r.user_tier for r in merge(existing, incoming).collect()}
 
 
-def test_rerun_of_a_batch_changes_nothing(spark):
+def test_rerun_of_a_batch_changes_nothing(spark, merge):
     existing = dim(spark, ("u1", "free", "US", None, at(0), None, True))
     incoming = batch(spark, ("u1", "plus", "US", None, at(10)), ("u2", "free", "DE", None, at(5)))
     once = merge(existing, incoming)
@@ -133,7 +139,7 @@ def test_rerun_of_a_batch_changes_nothing(spark):
     assert sorted(once.select(key).collect(), key=repr) == sorted(again.select(key).collect(), key=repr)
 
 
-def test_same_instant_keeps_one_version(spark):
+def test_same_instant_keeps_one_version(spark, merge):
     incoming = batch(spark, ("u1", "free", "US", None, at(0)), ("u1", "plus", "US", None, at(0)))
     out = merge(empty_dimension(incoming, "changed_at"), incoming)
     assert out.count() == 1 and out.first().is_current
@@ -160,7 +166,7 @@ def chain_by_hand(existing, incoming):
     return sorted(out, key=repr)
 
 
-def test_matches_brute_force_with_a_hot_key(spark):
+def test_matches_brute_force_with_a_hot_key(spark, merge):
     dice = random.Random(7)
     keys = ["hot"] * 5 + [f"k{i}" for i in range(10)]
     existing = [(f"k{i}", "free", "US", None, at(0), None, True) for i in range(6)]
@@ -174,7 +180,7 @@ def test_matches_brute_force_with_a_hot_key(spark):
         )
         for second in dice.sample(range(60_000), 300)
     ]
-    out = merge(dim(spark, *existing), batch(spark, *incoming), bucket_seconds=900)
+    out = merge(dim(spark, *existing), batch(spark, *incoming))
     got = sorted(
         ((r.user_id, r.valid_from, r.valid_to, r.user_tier, r.country_code) for r in out.collect()),
         key=repr,
@@ -202,7 +208,7 @@ def test_user_changes_take_the_new_tier_and_carry_the_rest(spark):
     assert current.signup_date == at(0) and current.valid_from == at(61)
 
 
-def test_surrogate_keys_are_unique(spark):
+def test_surrogate_keys_are_unique(spark, merge):
     incoming = batch(
         spark, *[("u1", t, "US", None, at(i * 7)) for i, t in enumerate(["free", "plus"] * 5)]
     )

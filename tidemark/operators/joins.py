@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.timestamps import time_bucket
 from .skew import lookup_join
-from .timeline import BUCKET_SECONDS, carry_in
+from .timeline import BUCKET_SECONDS, ROWS_PER_KEY, carry_in, has_large_key
 
 
 def join_valid_at(
@@ -16,6 +16,7 @@ def join_valid_at(
     ts: str,
     columns: list[str],
     bucket_seconds: int = BUCKET_SECONDS,
+    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """Left as-of join: each fact gets ``columns`` of the version valid at its time.
 
@@ -30,6 +31,29 @@ def join_valid_at(
         F.lit(0).alias("_turn"),
     )
     line = facts.withColumn("_turn", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    if has_large_key(line.select(key), [key], rows_per_key):
+        found = _last_start_bucketed(line, key, ts, bucket_seconds)
+    else:
+        found = _last_start(line, [key], ts).where(F.col("_turn") == 1)
+    holds = F.col("_found.valid_to").isNull() | (F.col(ts) < F.col("_found.valid_to"))
+    return found.select(
+        *[F.col(c) for c in facts.columns],
+        *[F.when(holds, F.col(f"_found.{c}")).alias(c) for c in columns],
+    )
+
+
+def _last_start(line: DataFrame, partition: list[str], ts: str) -> DataFrame:
+    so_far = (
+        Window.partitionBy(*partition)
+        .orderBy(ts, "_turn")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    known = F.last("_version", ignorenulls=True).over(so_far)
+    # Facts without key belong to no user, whatever versions lack a key.
+    return line.withColumn("_found", F.when(F.col(partition[0]).isNotNull(), known))
+
+
+def _last_start_bucketed(line: DataFrame, key: str, ts: str, bucket_seconds: int) -> DataFrame:
     line = line.withColumn("_bucket", time_bucket(ts, bucket_seconds))
     before = carry_in(
         line.select(key, "_bucket", ts, "_turn", "_version"),
@@ -38,21 +62,11 @@ def join_valid_at(
         [ts, "_turn"],
         ["_version"],
     )
-    so_far = (
-        Window.partitionBy(key, "_bucket")
-        .orderBy(ts, "_turn")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = (
-        line.withColumn("_local", F.last("_version", ignorenulls=True).over(so_far))
+    return (
+        _last_start(line, [key, "_bucket"], ts)
         .where(F.col("_turn") == 1)
         .join(before, [key, "_bucket"], "left")
-        .withColumn("_found", F.coalesce("_local", "_in__version"))
-    )
-    holds = F.col("_found.valid_to").isNull() | (F.col(ts) < F.col("_found.valid_to"))
-    return found.select(
-        *[F.col(c) for c in facts.columns],
-        *[F.when(holds, F.col(f"_found.{c}")).alias(c) for c in columns],
+        .withColumn("_found", F.coalesce("_found", "_in__version"))
     )
 
 

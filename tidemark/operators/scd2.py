@@ -2,8 +2,8 @@
 
 Incoming rows are ordered by their effective time, attributes left NULL are
 carried forward, rows that repeat the previous state are dropped, and each kept
-row closes the one before it. All comparisons are bucketed (see ``timeline``),
-so a key with very many changes does not land in one task.
+row closes the one before it. Where a key has very many changes, the comparisons are
+bucketed (see ``timeline``) so that they do not land in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..functions.enrich import surrogate_key as make_key
 from ..functions.timestamps import time_bucket
 from ..session import cut_lineage
 from .skew import lookup_join
-from .timeline import BUCKET_SECONDS, carry_in, next_start
+from .timeline import BUCKET_SECONDS, ROWS_PER_KEY, carry_in, has_large_key, next_start
 
 
 def empty_dimension(incoming: DataFrame, effective_column: str) -> DataFrame:
@@ -79,31 +79,35 @@ def _new_versions(
     attributes: list[str],
     tracked: list[str],
     effective: str,
-    bucket_seconds: int,
+    bucket_seconds: int | None,
 ) -> DataFrame:
-    rows = accepted.withColumns(
-        {
-            "_bucket": time_bucket(effective, bucket_seconds),
-            "_tie": F.xxhash64(*attributes),
-            "_seen": F.lit(True),
-        }
-    )
+    """Versions the accepted changes open; bucketed unless ``bucket_seconds`` is None."""
+    rows = accepted.withColumns({"_tie": F.xxhash64(*attributes), "_seen": F.lit(True)})
     order = [effective, "_tie"]
-    chain = Window.partitionBy(key, "_bucket").orderBy(*order)
-    before = carry_in(rows, [key], "_bucket", order, [*attributes, "_seen"])
-    # Carry-forward: own bucket first, then earlier buckets, then the open version.
-    entering = {c: F.coalesce(F.col(f"_in_{c}"), F.col(f"_open.{c}")) for c in attributes}
-    known = F.col("_in__seen") | F.col("_open").isNotNull()
+    place = [key]
+    if bucket_seconds is not None:
+        place = [key, "_bucket"]
+        rows = rows.withColumn("_bucket", time_bucket(effective, bucket_seconds))
+        rows = rows.join(
+            carry_in(rows, [key], "_bucket", order, [*attributes, "_seen"]), place
+        )
+    chain = Window.partitionBy(*place).orderBy(*order)
+
+    def entering(c: str) -> Column:
+        """What held before the first row of this place: earlier buckets, then the open version."""
+        earlier = [F.col(f"_in_{c}")] if bucket_seconds is not None else []
+        return F.coalesce(*earlier, F.col(f"_open.{c}"))
+
+    known = F.col("_open").isNotNull()
+    if bucket_seconds is not None:
+        known = known | F.col("_in__seen")
     kept = (
-        rows.join(before, [key, "_bucket"])
-        .withColumns(
+        rows.withColumns(
             {
-                "_entering": F.when(
-                    known, F.struct(*[value.alias(c) for c, value in entering.items()])
-                ),
+                "_entering": F.when(known, F.struct(*[entering(c).alias(c) for c in attributes])),
                 **{
-                    c: F.coalesce(F.last(c, ignorenulls=True).over(chain), value)
-                    for c, value in entering.items()
+                    c: F.coalesce(F.last(c, ignorenulls=True).over(chain), entering(c))
+                    for c in attributes
                 },
             }
         )
@@ -111,14 +115,16 @@ def _new_versions(
             "_previous", F.coalesce(F.lag(F.struct(*attributes)).over(chain), F.col("_entering"))
         )
         .where(F.col("_previous").isNull() | _differs(tracked, "_previous"))
-        .select(key, "_bucket", "_tie", "_floor", effective, *attributes)
+        .select(*place, "_tie", "_floor", effective, *attributes)
     )
-    # The versions are read three times below (closing times, chain, result).
-    kept = cut_lineage(kept)
-    following = next_start(kept, [key], "_bucket", effective)
+    closes = F.lead(effective).over(chain)
+    if bucket_seconds is not None:
+        # Read three times from here on (closing times, chain, result).
+        kept = cut_lineage(kept)
+        kept = kept.join(next_start(kept, [key], "_bucket", effective), place)
+        closes = F.coalesce(closes, F.col("_next_start"))
     return (
-        kept.join(following, [key, "_bucket"])
-        .withColumn("valid_to", F.coalesce(F.lead(effective).over(chain), F.col("_next_start")))
+        kept.withColumn("valid_to", closes)
         # Of several changes at one instant only the last one ever held.
         .where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col(effective)))
         .select(
@@ -140,6 +146,7 @@ def apply_scd_type2(
     effective_column: str,
     surrogate_key: str | None = "user_sk",
     bucket_seconds: int = BUCKET_SECONDS,
+    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """The whole dimension after the batch, each row with its ``change_kind``.
 
@@ -156,13 +163,14 @@ def apply_scd_type2(
 
     # Read several times below: to number, to fill and to tell which keys it holds.
     judged = cut_lineage(_judge(existing, incoming_data, natural_key, effective_column))
+    large = has_large_key(judged, [natural_key], rows_per_key)
     fresh = _new_versions(
         judged.where(~F.col("_late")),
         natural_key,
         attributes,
         tracked_columns,
         effective_column,
-        bucket_seconds,
+        bucket_seconds if large else None,
     )
 
     never = F.lit(None).cast(incoming_data.schema[effective_column].dataType)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -55,6 +56,11 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     )
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -65,9 +71,7 @@ def scratch_root(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+        return _local_root()
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 

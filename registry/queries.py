@@ -580,12 +580,16 @@ def rate_anomalies(spark, sf_dir):
 
 @query
 def rate_anomalies_2sd(spark, sf_dir):
-    return anomalies.detect_rate_anomalies(inputs.api_usage_events(spark, sf_dir), 2.0)
+    return anomalies.detect_rate_anomalies(
+        inputs.api_usage_events(spark, sf_dir), threshold_multiplier=2.0
+    )
 
 
 @query
 def rate_anomalies_hourly(spark, sf_dir):
-    return anomalies.detect_windowed_rate_anomalies(inputs.api_usage_events(spark, sf_dir))
+    return anomalies.detect_rate_anomalies(
+        inputs.api_usage_events(spark, sf_dir), window_minutes=60
+    )
 
 
 @query

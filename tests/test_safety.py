@@ -71,7 +71,7 @@ def test_windowed_rates(spark):
     df = spark.createDataFrame(rows, "user_id string, event_timestamp timestamp_ntz")
     out = {
         (r.user_id, r.window_start): r.request_count
-        for r in anomalies.detect_windowed_rate_anomalies(df).collect()
+        for r in anomalies.detect_rate_anomalies(df, window_minutes=60).collect()
     }
     assert out == {("a", at(0)): 5, ("a", at(3600)): 1, ("b", at(0)): 1}
 

@@ -37,7 +37,7 @@ def merge(request):
     """Both ways to build the chain: per key, and cut into buckets of 15 minutes."""
     way = {} if request.param == "whole keys" else {"rows_per_key": 0, "bucket_seconds": 900}
     return lambda existing, incoming: apply_scd_type2(
-        existing, incoming, "user_id", TRACKED, "changed_at", **way
+        existing, incoming, "user_id", TRACKED, effective_column="changed_at", **way
     )
 
 
@@ -208,6 +208,23 @@ def test_user_changes_take_the_new_tier_and_carry_the_rest(spark):
     assert current.signup_date == at(0) and current.valid_from == at(61)
 
 
+def test_batch_without_times_takes_effect_as_a_whole(spark):
+    existing = dim(spark, ("u1", "free", "US", None, at(0), None, True)).withColumns(
+        {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss") for c in ("valid_from", "valid_to")}
+    )
+    incoming = batch(spark, ("u1", "plus", "US", None, None), ("u2", "free", "DE", None, None))
+    out = apply_scd_type2(
+        existing, incoming.drop("changed_at"), "user_id", TRACKED, as_of="2024-01-01 12:00:00"
+    )
+    assert [r[:5] for r in rows_of(out)] == [
+        ("u1", at(0), at(7200), False, "free"),
+        ("u1", at(7200), None, True, "plus"),
+        ("u2", at(7200), None, True, "free"),
+    ]
+    with pytest.raises(ValueError):
+        apply_scd_type2(existing, incoming.drop("changed_at"), "user_id", TRACKED)
+
+
 def test_surrogate_keys_are_unique(spark, merge):
     incoming = batch(
         spark, *[("u1", t, "US", None, at(i * 7)) for i, t in enumerate(["free", "plus"] * 5)]

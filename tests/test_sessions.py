@@ -64,12 +64,13 @@ def test_rows_without_user_or_time_are_kept(spark):
     assert len(out) == 3 and out["3"] == "u_sess_000001"
 
 
-def test_iso_text_with_offset_after_the_cast(spark):
+def test_iso_text_with_offset(spark):
     df = spark.createDataFrame(
         [("1", "u", "2026-01-01T10:00:00+00:00"), ("2", "u", "2026-01-01T10:10:00+00:00")],
         "event_id string, user_id string, timestamp string",
-    ).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    assert set(ids(sessionize(df)).values()) == {"u_sess_000001"}
+    )
+    for form in (df, df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))):
+        assert set(ids(sessionize(form)).values()) == {"u_sess_000001"}
 
 
 MANY = st.lists(

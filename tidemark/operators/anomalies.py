@@ -56,19 +56,19 @@ def _flag_high_counts(counts: DataFrame, multiplier: float) -> DataFrame:
     )
 
 
-def detect_rate_anomalies(df: DataFrame, threshold_multiplier: float = 5.0) -> DataFrame:
-    """Requests per user over the whole input, flagged when far above other users'."""
-    counts = df.groupBy("user_id").agg(F.count("*").alias("request_count"))
-    return _flag_high_counts(counts, threshold_multiplier)
-
-
-def detect_windowed_rate_anomalies(
+def detect_rate_anomalies(
     df: DataFrame,
-    timestamp_column: str = "event_timestamp",
-    window_minutes: int = 60,
+    window_minutes: int | None = None,
     threshold_multiplier: float = 5.0,
+    timestamp_column: str = "event_timestamp",
 ) -> DataFrame:
-    """The same per user and tumbling window."""
+    """Requests per user, flagged when far above the others' (mean + multiplier x sd).
+
+    Counts over the whole input, or per tumbling window of ``window_minutes``.
+    """
+    if window_minutes is None:
+        counts = df.groupBy("user_id").agg(F.count("*").alias("request_count"))
+        return _flag_high_counts(counts, threshold_multiplier)
     span = F.window(F.col(timestamp_column), f"{window_minutes} minutes")
     counts = (
         df.groupBy("user_id", span.alias("_span"))
@@ -87,7 +87,7 @@ def anomaly_summary(
 ) -> DataFrame:
     """One row: behavioural, rate and total anomalies (0 on empty input)."""
     flagged = detect_zscore_anomalies(safety_events, metric_col, threshold=threshold)
-    rates = detect_rate_anomalies(api_usage, threshold_multiplier)
+    rates = detect_rate_anomalies(api_usage, threshold_multiplier=threshold_multiplier)
     hits = flagged.select(
         F.col("is_anomaly").alias("behavioral"), F.lit(False).alias("rate")
     ).unionByName(

@@ -143,19 +143,33 @@ def apply_scd_type2(
     incoming_data: DataFrame,
     natural_key: str,
     tracked_columns: list[str],
-    effective_column: str,
     surrogate_key: str | None = "user_sk",
+    effective_column: str | None = None,
+    as_of: str | None = None,
     bucket_seconds: int = BUCKET_SECONDS,
     rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """The whole dimension after the batch, each row with its ``change_kind``.
 
+    Changes take effect at their ``effective_column``; a batch without one takes
+    effect as a whole at ``as_of``.
+
     ``history`` closed before the batch, ``untouched`` open and absent from the
     batch, ``unchanged`` open and confirmed, ``expired`` closed by the batch,
     ``new_version`` of a known key, ``new_key`` first seen in the batch.
     """
+    if effective_column is None:
+        if as_of is None:
+            raise ValueError("name the effective_column or give as_of")
+        effective_column = "_effective"
+        incoming_data = incoming_data.withColumn(
+            effective_column, F.to_timestamp_ntz(F.lit(as_of))
+        )
     attributes = [c for c in incoming_data.columns if c not in (natural_key, effective_column)]
-    existing = existing_dim
+    instant = incoming_data.schema[effective_column].dataType
+    existing = existing_dim.withColumns(
+        {c: F.col(c).cast(instant) for c in ("valid_from", "valid_to")}
+    )
     for c in attributes:
         if c not in existing.columns:
             existing = existing.withColumn(c, F.lit(None).cast(incoming_data.schema[c].dataType))
@@ -173,7 +187,7 @@ def apply_scd_type2(
         bucket_seconds if large else None,
     )
 
-    never = F.lit(None).cast(incoming_data.schema[effective_column].dataType)
+    never = F.lit(None).cast(instant)
     batch = (
         judged.select(natural_key, never.alias("_start"))
         .unionByName(fresh.select(natural_key, F.col("valid_from").alias("_start")))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import quality
 from ..operators.dedup import deduplicate_events
 from ..operators.joins import resolve_keys
+from ..operators.scd2 import late_changes
 from ..operators.sessions import session_state
 from ..session import cut_lineage
 from ..sources.staging import read_days
@@ -32,11 +33,18 @@ def check_staging(
 
 
 def load_dimensions(spark: SparkSession, staging: str, warehouse: Warehouse, day: str) -> None:
-    """Snapshot of the day; without user changes the last snapshot stays the newest."""
+    """Snapshot of the day; without user changes the last snapshot stays the newest.
+
+    Changes too late for the merge are kept in RAW.LATE_USER_CHANGES.
+    """
     changes = dims.user_changes(_staged(spark, staging, "user_events", day))
     if not changes.isEmpty():
         before = warehouse.read_snapshot("DIM_USERS", day, before=True)
-        merged = dims.merge_users(None if before is None else before, changes)
+        if before is not None:
+            late = late_changes(before, changes, "user_id", "changed_at")
+            late = late.withColumn("dt", F.lit(day).cast("date"))
+            warehouse.write(late, "LATE_USER_CHANGES", "RAW", "replace", ["dt"])
+        merged = dims.merge_users(before, changes)
         warehouse.write_snapshot(merged.drop("change_kind"), "DIM_USERS", day)
     known_models = warehouse.read_snapshot("DIM_MODELS", day, before=True)
     warehouse.write_snapshot(dims.seed_models(spark, known_models), "DIM_MODELS", day)

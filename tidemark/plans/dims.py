@@ -59,7 +59,9 @@ def merge_users(existing: DataFrame | None, changes: DataFrame) -> DataFrame:
     """The user dimension after a batch of changes (initial load without ``existing``)."""
     if existing is None:
         existing = empty_dimension(changes, "changed_at")
-    return apply_scd_type2(existing, changes, "user_id", TRACKED_COLUMNS, "changed_at")
+    return apply_scd_type2(
+        existing, changes, "user_id", TRACKED_COLUMNS, effective_column="changed_at"
+    )
 
 
 def seed_models(spark: SparkSession, existing: DataFrame | None = None) -> DataFrame:

@@ -132,11 +132,27 @@ def messages_per_session(messages: DataFrame, *periods: str) -> DataFrame:
     return counted.agg(F.avg("n").alias("avg_messages_per_session"))
 
 
+def _per_session_and_model(messages: DataFrame, by: list[str]) -> DataFrame:
+    """Counts and sums per group, session and model.
+
+    Counting distinct sessions and models next to each other multiplies the rows;
+    on this pre-aggregated frame there are few of them left.
+    """
+    return messages.groupBy(*by, "session_id", "model_id").agg(
+        F.count("*").alias("messages"),
+        *[f(c).alias(f"{f.__name__}_{c}") for c in ("total_tokens", "latency_ms") for f in (F.sum, F.count)],
+    )
+
+
+def _average(column: str) -> Column:
+    return F.try_divide(F.sum(f"sum_{column}").cast("double"), F.sum(f"count_{column}"))
+
+
 def _engagement(messages: DataFrame, by: list[str], accuracy: int | None) -> DataFrame:
-    counted = messages.groupBy(*by).agg(
+    counted = _per_session_and_model(messages, by).groupBy(*by).agg(
         F.count_distinct("session_id").alias("total_sessions"),
-        F.count("*").alias("total_messages"),
-        F.avg("total_tokens").alias("avg_tokens_per_message"),
+        F.sum("messages").alias("total_messages"),
+        _average("total_tokens").alias("avg_tokens_per_message"),
         F.count_distinct("model_id").alias("unique_models_used"),
     )
     both = counted.unionByName(
@@ -285,16 +301,16 @@ def safety_dashboard(
 
 def conversation_user_days(conversations: DataFrame) -> DataFrame:
     """Sessions, messages, tokens, models and latency per user and day."""
-    return (
-        conversations.where(F.col("event_type") == "message_sent")
-        .groupBy("user_id", F.to_date("event_timestamp").alias("event_date"))
-        .agg(
-            F.count_distinct("session_id").alias("session_count"),
-            F.count("*").alias("message_count"),
-            F.avg("total_tokens").alias("avg_tokens"),
-            F.count_distinct("model_id").alias("models_used"),
-            F.avg("latency_ms").alias("avg_latency_ms"),
-        )
+    messages = conversations.where(F.col("event_type") == "message_sent").withColumn(
+        "event_date", F.to_date("event_timestamp")
+    )
+    days = ["user_id", "event_date"]
+    return _per_session_and_model(messages, days).groupBy(*days).agg(
+        F.count_distinct("session_id").alias("session_count"),
+        F.sum("messages").alias("message_count"),
+        _average("total_tokens").alias("avg_tokens"),
+        F.count_distinct("model_id").alias("models_used"),
+        _average("latency_ms").alias("avg_latency_ms"),
     )
 
 

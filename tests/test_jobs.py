@@ -91,8 +91,13 @@ def warehouse(spark, staged, tmp_path_factory):
     warehouse = Warehouse(spark, str(tmp_path_factory.mktemp("warehouse")))
     with pytest.raises(QualityGateFailed, match="unique:event_id"):
         run_day(spark, staged, warehouse, DAY1)
-    for day in (DAY1, DAY2, DAY2):  # the second day twice
+    rows = [
         run_day(spark, staged, warehouse, day, tolerate=("unique:event_id",))
+        for day in (DAY1, DAY2, DAY2)  # the second day twice
+    ]
+    names = ["FACT_CONVERSATIONS", "FACT_API_USAGE", "FACT_BILLING", "SAFETY_EVENTS"]
+    assert [rows[0][n] for n in names] == [3, 2, 2, 21]
+    assert [rows[1][n] for n in names] == [2, 1, 1, 1] and rows[2] == rows[1]
     return warehouse
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import quality
 from ..operators.dedup import deduplicate_events
@@ -71,15 +71,24 @@ def _loaded_ids(warehouse: Warehouse, table: str, day: str) -> DataFrame | None:
     return warehouse.read(table).where(yesterday).select("event_id")
 
 
-def _store(warehouse: Warehouse, fact: DataFrame, table: str, day: str, schema="WAREHOUSE") -> None:
+def _store(
+    warehouse: Warehouse, fact: DataFrame, table: str, day: str, schema: str = "WAREHOUSE"
+) -> int:
+    """Replace the day's partition; the rows are counted as they are written."""
     stored = fact.withColumns(
         {"_loaded_at": F.current_timestamp(), "dt": F.lit(day).cast("date")}
     )
+    written = Observation()
+    stored = stored.observe(written, F.count("*").alias("rows"))
     warehouse.write(stored, table, schema, "replace", ["dt"])
+    return written.get["rows"]
 
 
-def load_facts(spark: SparkSession, staging: str, warehouse: Warehouse, day: str) -> None:
-    """Facts of the day, each replacing its own day's partition."""
+def load_facts(
+    spark: SparkSession, staging: str, warehouse: Warehouse, day: str
+) -> dict[str, int]:
+    """Facts of the day, each replacing its own day's partition; returns their rows."""
+    rows = {}
     users = warehouse.read_snapshot("DIM_USERS", day)
     models = warehouse.read_snapshot("DIM_MODELS", day)
     plans = warehouse.read_snapshot("DIM_SUBSCRIPTION_PLANS", day)
@@ -97,7 +106,7 @@ def load_facts(spark: SparkSession, staging: str, warehouse: Warehouse, day: str
     state = session_state(conversations, carry, timestamp_column=TS)
     warehouse.write_snapshot(state, "SESSION_STATE", day)
     keyed = resolve_keys(conversations, TS, dim_users=users, dim_models=models)
-    _store(warehouse, keyed, "FACT_CONVERSATIONS", day)
+    rows["FACT_CONVERSATIONS"] = _store(warehouse, keyed, "FACT_CONVERSATIONS", day)
 
     def unseen(fact: DataFrame, table: str) -> DataFrame:
         loaded = _loaded_ids(warehouse, table, day)
@@ -105,19 +114,20 @@ def load_facts(spark: SparkSession, staging: str, warehouse: Warehouse, day: str
 
     calls = unseen(facts.fact_api_usage(events("api_usage_events")), "FACT_API_USAGE")
     calls = resolve_keys(calls, TS, dim_users=users, dim_models=models)
-    _store(warehouse, calls, "FACT_API_USAGE", day)
+    rows["FACT_API_USAGE"] = _store(warehouse, calls, "FACT_API_USAGE", day)
 
     billing = unseen(facts.fact_billing(events("billing_events")), "FACT_BILLING")
     billing = resolve_keys(billing, TS, dim_users=users, dim_plans=plans)
-    _store(warehouse, billing, "FACT_BILLING", day)
+    rows["FACT_BILLING"] = _store(warehouse, billing, "FACT_BILLING", day)
+    return rows
 
 
 def load_safety_events(
     spark: SparkSession, staging: str, warehouse: Warehouse, day: str
-) -> None:
+) -> int:
     signals = _staged(spark, staging, "safety_events", day).withColumnRenamed("timestamp", TS)
     unique = deduplicate_events(signals, timestamp_column=TS)
-    _store(warehouse, unique, "SAFETY_EVENTS", day, schema="RAW")
+    return _store(warehouse, unique, "SAFETY_EVENTS", day, schema="RAW")
 
 
 def build_canonical(warehouse: Warehouse, day: str) -> None:
@@ -166,15 +176,18 @@ def run_day(
     warehouse: Warehouse,
     day: str,
     tolerate: tuple[str, ...] = (),
-) -> None:
+) -> dict[str, int]:
     """Everything for one day; running it again replaces the day's results.
 
+    Returns the rows stored per table.
+
     ``tolerate`` names checks that may fail, such as ``unique:event_id`` where
     ingest delivers at least once and the fact jobs remove the copies.
     """
     check_staging(spark, staging, day, tolerate)
     load_dimensions(spark, staging, warehouse, day)
-    load_facts(spark, staging, warehouse, day)
-    load_safety_events(spark, staging, warehouse, day)
+    rows = load_facts(spark, staging, warehouse, day)
+    rows["SAFETY_EVENTS"] = load_safety_events(spark, staging, warehouse, day)
     check_warehouse(warehouse, day, tolerate)
     build_canonical(warehouse, day)
+    return rows

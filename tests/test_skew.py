@@ -51,6 +51,18 @@ def test_heavy_keys_are_bounded_and_hold_the_hot_one(spark):
     assert len(found) == 5 and "hot" in found
 
 
+def test_both_sides_agree_on_heavy_keys_without_reuse(spark):
+    """All keys are equally frequent, so only the tie-break decides which are salted."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rows = spark.range(4000).select((F.col("id") % 1000).cast("string").alias("k"), "id")
+        names = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+        out = spread_join(rows.repartition(7), names.repartition(3), ["k"], top=10)
+        assert out.count() == 4000 and out.where("v is null").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
 def test_lookup_join_broadcasts_only_below_the_limit(spark):
     rows, names = lopsided(spark), lookup(spark)
     small = lookup_join(rows, names, ["k"], max_rows=1000)

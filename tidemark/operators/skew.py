@@ -39,11 +39,14 @@ def row_noise(df: DataFrame, spread: int = SPREAD) -> Column:
 
 
 def heavy_keys(rows: DataFrame, on: list[str], top: int = HEAVY_KEYS) -> DataFrame:
-    """At most ``top`` keys, among them each one with more than 1/top of the rows."""
+    """At most ``top`` keys, among them each one with more than 1/top of the rows.
+
+    Ties are broken by the key: both sides of a salted join must agree on the set.
+    """
     return (
         rows.groupBy(*on)
         .agg(F.count("*").alias("_rows"))
-        .orderBy(F.desc("_rows"))
+        .orderBy(F.desc("_rows"), *on)
         .limit(top)
         .select(*on, F.lit(True).alias("_heavy"))
     )

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, fingerprints, shards
+from . import curriculum, fingerprints, oddsketch, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +36,9 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query
+def op9_oddsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return oddsketch.near_duplicates(docs, size=3, threshold=Fraction(85, 100))

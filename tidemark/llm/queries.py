@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, fingerprints, oddsketch, shards
+from . import codeswitch, curriculum, fingerprints, oddsketch, shards, subword, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +42,31 @@ def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_oddsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return oddsketch.near_duplicates(docs, size=3, threshold=Fraction(85, 100))
+
+
+def _fold(of: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(_fold(5) != 0))
+    scored = docs.select("doc_id", (_fold(5) == 0).alias("held_out"), toxicity.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op6_codeswitch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = codeswitch.fit(docs.where(_fold(4) != 2))
+    told = docs.select("doc_id", (_fold(4) == 2).alias("held_out"), codeswitch.language(docs, model).alias("told"))
+    return told.select("doc_id", "held_out", F.col("told.lang").alias("lang_pred"), F.col("told.score").alias("score"))
+
+
+@query
+def op10_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = subword.fit(docs, labels.where(_fold(4) != 2))
+    scored = docs.select("doc_id", (_fold(4) == 2).alias("held_out"), subword.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))

@@ -1,7 +1,8 @@
 """Quality of documents: supervised subword embeddings.
 
-Every word and every character n-gram of a word is hashed to a row of a table of
-vectors. A document is the mean of the vectors of all of them; a softmax over two
+Every word, every pair of adjacent words and every character n-gram of a word is
+hashed to a row of a table of vectors; a word said twice in a row is one and the same
+pair whatever the word. A document is the mean of the vectors of all of them; a softmax over two
 classes of a linear map of that mean is the score. Table and map are learned
 together by stochastic gradient descent in numpy, on a bounded sample of labelled
 documents, each given by a bounded sample of its features drawn over its whole
@@ -47,23 +48,32 @@ def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Itera
         yield word, (hashed % np.uint64(BUCKETS)).astype(np.int32)
 
 
+def _pairs(hashed: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The bucket of each word with the one before it in its text."""
+    before = np.zeros(len(hashed), np.uint64)
+    before[1:] = np.where(text[1:] == text[:-1], hashed[:-1], np.uint64(0))
+    pair = np.where(before == hashed, np.uint64(1), spans.scramble(before * np.uint64(3) + hashed))
+    return (pair % np.uint64(BUCKETS)).astype(np.int32)
+
+
 def _pieces(column: pa.Array) -> Iterator[tuple]:
-    """(first text, texts, text and form of each word, features of the distinct forms)."""
+    """(first text, texts, text, pair and form of each word, features of the distinct forms)."""
     for first, data, offsets in spans.pieces(column):
         start, end, text = spans.words(data, offsets)
         hashed = spans.Hasher(data).of(start, end)
         _, at, form = np.unique(hashed, return_index=True, return_inverse=True)
-        yield first, len(offsets) - 1, text, form, len(at), word_features(data, start[at], end[at])
+        features = word_features(data, start[at], end[at])
+        yield first, len(offsets) - 1, text, _pairs(hashed, text), form, len(at), features
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, n, text, form, forms, features in _pieces(batch.column(0)):
+        for first, n, text, pair, form, forms, features in _pieces(batch.column(0)):
             word, bucket = map(np.concatenate, zip(*features))
             order = np.argsort(word, kind="stable")
             bucket = bucket[order]
             edge = np.append(0, np.cumsum(np.bincount(word, minlength=forms)))
-            each = np.diff(edge)[form]  # features of every word of the piece
+            each = np.diff(edge)[form] + 1  # features of every word of the piece, its pair last
             first_word = np.searchsorted(text, np.arange(n + 1))
             running = np.append(0, np.cumsum(each))
             lists = []
@@ -75,7 +85,10 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # evenly over the text; all of them if there are no more
                 place = low + (np.arange(min(FEATURES, high - low)) * (high - low)) // min(FEATURES, high - low)
                 at = np.searchsorted(running, place, side="right") - 1
-                lists.append(bucket[edge[form[at]] + place - running[at]])
+                inner = place - running[at]
+                is_pair = inner == each[at] - 1
+                own = np.minimum(edge[form[at]] + inner, len(bucket) - 1)
+                lists.append(np.where(is_pair, pair[at], bucket[own]))
             labels = batch.column(1).slice(first, n)
             yield pa.RecordBatch.from_arrays(
                 [labels, pa.array(lists, pa.list_(pa.int32()))], names=["label", "features"]
@@ -124,12 +137,13 @@ def fit(
 
 def scores(margins: np.ndarray, column: pa.Array) -> np.ndarray:
     out = np.empty(len(column))
-    for first, n, text, form, forms, features in _pieces(column):
+    for first, n, text, pair, form, forms, features in _pieces(column):
         total, count = np.zeros(forms), np.zeros(forms)
         for word, bucket in features:
             total += np.bincount(word, margins[bucket], forms)
             count += np.bincount(word, minlength=forms)
-        z = np.bincount(text, total[form], n) / np.maximum(1, np.bincount(text, count[form], n))
+        sums = np.bincount(text, total[form] + margins[pair], n)
+        z = sums / np.maximum(1, np.bincount(text, count[form] + 1, n))
         out[first : first + n] = 1 / (1 + np.exp(-z))
     return out
 

@@ -105,7 +105,7 @@ def due_time(words: Column, target: Column, start: Column, end: Column) -> Colum
 
 def mix(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
-    weights=WEIGHTS, ramps=RAMPS, total: float = TOTAL, most: float = MOST, cells: int = CELLS,
+    weights=WEIGHTS, ramps=RAMPS, total: float = TOTAL, most: float = MOST, cells: int = CELLS, sort: bool = True,
 ) -> DataFrame:
     """What the mix takes of each document and when, range-sorted by that time.
 
@@ -127,33 +127,38 @@ def mix(
     # one row per source
     placed = placed.join(by, F.col("_name").eqNullSafe(F.col("source")), "left").drop("source")
     whole = F.floor(F.col("target")).cast("bigint")
-    passes = int(-(-most // 1))
+    if not 0 < most <= 2:
+        raise ValueError("a source is gone through twice at most")
     used = [
         F.greatest(
             F.lit(0), F.least(F.col("size"), whole - F.lit(p) * F.col("source_size") - F.col("_before"))
         )
-        for p in range(passes)
+        for p in range(2)
     ]
-    taken, begun = used[0], F.when(used[0] > 0, 1).otherwise(0)
-    for words in used[1:]:
-        taken, begun = taken + words, begun + F.when(words > 0, 1).otherwise(0)
+    begun = sum((F.when(words > 0, 1).otherwise(0) for words in used), F.lit(0))
     start, end = (_cycle(F.col("rank"), tuple(r[i] for r in ramps)) for i in (0, 1))
-    position = F.when(used[0] > 0, due_time(F.col("_before"), F.col("target"), start, end))
+    due = [
+        F.when(words > 0, due_time(F.lit(p) * F.col("source_size") + F.col("_before"), F.col("target"), start, end))
+        for p, words in enumerate(used)
+    ]
     out = placed.select(
         F.col("_id").alias(id), F.col("_name").alias("source"), "size", "source_size", "target",
-        taken.alias("taken"), begun.cast("int").alias("passes"), position.alias("position"),
+        (used[0] + used[1]).alias("taken"), begun.cast("int").alias("passes"),
+        due[0].alias("position"), due[1].alias("again"),
     )
-    return out.orderBy(F.col("position").asc_nulls_last(), id)
+    return out.orderBy(F.col("position").asc_nulls_last(), id) if sort else out
 
 
 def mixed_documents(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
     """The documents that `mix` takes, each as often as it is begun, in its order.
 
-    Columns are those of ``docs``; ids should be distinct. Documents without words
-    are left out, as nothing is taken of them.
+    Columns are those of ``docs``. A document that is begun twice comes at both times.
+    Ids should be distinct: rows that repeat an id come as often as all of them are
+    begun. Documents without words or id are left out.
     """
-    plan = mix(docs, id, **options).where("passes > 0")
-    n, at, key = (fresh(docs.columns, c) for c in ("_passes", "_position", "_doc"))
-    plan = plan.select(F.col(id).alias(key), F.col("passes").alias(n), F.col("position").alias(at))
+    plan = mix(docs, id, **options, sort=False).where("passes > 0")
+    at, key = (fresh(docs.columns, c) for c in ("_position", "_doc"))
+    times = F.array(F.col("position"), F.col("again"))
+    plan = plan.select(F.col(id).alias(key), F.explode(F.slice(times, F.lit(1), F.col("passes"))).alias(at))
     met = docs.join(plan, docs[id] == plan[key])
-    return met.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).orderBy(at, id, n).select(*docs.columns)
+    return met.orderBy(at, id).select(*docs.columns)

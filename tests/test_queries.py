@@ -10,7 +10,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from compare import TABLES, compare  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from registry.oracle import ORACLE  # noqa: E402
+from registry.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,14 +25,14 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     verdict, _ = compare(spark, con, name, SF)
     assert verdict.startswith("ok"), verdict
 
 
 def test_each_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):

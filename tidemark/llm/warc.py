@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import scratch_dir
 
+from .common import store
+
 #: Payloads of fewer bytes are not deduplicated.
 LEAST_REVISIT = 100
 END = "\r\n"
@@ -198,27 +200,33 @@ def _records(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
         raise ValueError("an archive ends within a record")
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces between blank lines, in file order, to records."""
-    rows, size = [], 0
-    for head, block in _records(piece.as_py() or b"" for batch in batches for piece in batch.column(0)):
-        rows.append(_row(head, block))
-        size += len(block)
-        if len(rows) >= 1000 or size >= 4 << 20:
-            yield pa.RecordBatch.from_pylist(rows, _ARROW)
-            rows, size = [], 0
-    yield pa.RecordBatch.from_pylist(rows, _ARROW)
+def _parse(payloads: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces between blank lines, in file order, to records."""
+        rows, size = [], 0
+        for head, block in _records(piece.as_py() or b"" for batch in batches for piece in batch.column(0)):
+            rows.append(_row(head, block))
+            if not payloads:
+                rows[-1]["payload"] = None
+            size += len(block)
+            if len(rows) >= 1000 or size >= 4 << 20:
+                yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                rows, size = [], 0
+        yield pa.RecordBatch.from_pylist(rows, _ARROW)
+
+    return run
 
 
-def read_records(spark, path: str) -> DataFrame:
+def read_records(spark, path: str, payloads: bool = True) -> DataFrame:
     """One row per record of the gzipped archives at ``path``.
 
+    Without ``payloads`` these are read, measured and hashed but not handed on.
     payload_bytes and payload_digest are of the payload as read; for revisits, what
     their headers say of the payload they refer to, and payload is null. A file that
     breaks off or states a wrong length fails the read.
     """
     pieces = spark.read.option("lineSep", END + END).text(path).select(F.col("value").cast("binary").alias("value"))
-    return pieces.mapInArrow(_parse, RECORD)
+    return pieces.mapInArrow(_parse(payloads), RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -234,9 +242,10 @@ def assemble(records: DataFrame) -> DataFrame:
     known = records.where(F.col("record_id").isNotNull())
     fields = ["record_id", "target_uri", "date", "headers", "payload", "payload_bytes", "payload_digest"]
     captured = known.where(F.col("type").isin(*CAPTURES))
+    # column by column, so that those not asked for aren't shuffled
+    held = ["type", "target_uri", "date", "refers_to", "headers", "payload", "payload_bytes", "payload_digest"]
     heads = captured.groupBy(F.col("record_id").alias("capture_id")).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.first(F.struct("record_id", "type", "target_uri", "date", "refers_to", "headers", "payload", "payload_bytes", "payload_digest")).alias("response"),
+        F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(f"_{c}") for c in held]
     )
     named = known.select("record_id", "type", F.explode("concurrent_to").alias("other"))
     is_capture = F.col("type").isin(*CAPTURES)
@@ -257,13 +266,19 @@ def assemble(records: DataFrame) -> DataFrame:
         F.min_by(F.when(F.col("type") == "request", part), F.when(F.col("type") == "request", F.col("record_id"))).alias("request"),
         F.array_sort(F.collect_list(F.when(F.col("type") == "metadata", part)), lambda a, b: F.when(a.record_id < b.record_id, -1).when(a.record_id > b.record_id, 1).otherwise(0)).alias("metadata"),
     )
-    out = heads.join(grouped, "capture_id", "left")
-    return out.withColumn("metadata", F.coalesce("metadata", F.array()))
+    response = F.struct(F.col("capture_id").alias("record_id"), *[F.col(f"_{c}").alias(c) for c in held])
+    return heads.join(grouped, "capture_id", "left").select(
+        "capture_id", "copies", response.alias("response"), "request", F.coalesce("metadata", F.array()).alias("metadata")
+    )
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Captures of ``pages`` written to the shared scratch folder and read back, assembled."""
+    """Captures of ``pages`` written to the shared scratch folder, read back and assembled.
+
+    Payloads are read for their size and digest only; records are parsed once and
+    kept, as assembly reads them several times.
+    """
     spark = pages.sparkSession
     path = scratch_dir(spark, "warc")
     write_captures(pages, path)
-    return assemble(read_records(spark, path))
+    return assemble(store(read_records(spark, path, payloads=False), "records"))

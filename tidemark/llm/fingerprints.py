@@ -230,10 +230,9 @@ def count_near(prints: DataFrame, id: str = "doc_id", fingerprint: str = "finger
     pairs = within_radius(asked.select(F.col(bits).alias("p")), rows.select(F.col(bits).alias("p")), "p")
     sizes = rows.groupBy(F.col(bits).alias("fingerprint")).agg(F.count(F.lit(1)).alias("_rows"))
     found = pairs.join(sizes, "fingerprint").groupBy("query_print").agg((F.sum("_rows") - 1).alias("near_count"))
-    return (
-        rows.join(found, F.when(F.col(id) % every == 0, F.col(bits)) == F.col("query_print"), "left")
-        .drop(bits, "query_print")
-    )
+    # met by id, not by a print that is null for most rows
+    counted = asked.select(id, bits).distinct().join(found, F.col(bits) == F.col("query_print")).drop("query_print")
+    return rows.join(counted, [id, bits], "left").drop(bits)
 
 
 def fingerprint_table(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Near duplicates by banded MinHash, with odd sketches to judge candidates.
 
 A document is the set of its distinct word shingles. MinHash draws ``HASHES``
-samples of it; runs of samples are its bands, and documents that agree in a band
+samples of it; runs of some of them are its bands, and documents that agree in a band
 are candidates. An odd sketch folds the samples of a document into a bitmap, where
 each sample flips one bit; from the number of bits in which two bitmaps differ
 follows the share of samples that differ, and so the similarity, most precisely
@@ -15,7 +15,10 @@ The steps, and what keeps them linear where thousands of documents are alike:
    pairs are judged and confirmed, and components formed.
 3. A bucket that still holds several components is examined whole: its members are
    dealt to blocks, each pair of blocks is compared by sketches within a task, and
-   only pairs from different components that pass come out, to be confirmed.
+   only pairs from different components that pass come out, to be confirmed; a pair
+   that shares several buckets comes out of the first one. That is done twice: a
+   first round lets out the closest pair of each member only, which ties most
+   large groups together; the second lets out all that still are apart.
 4. Components over the links of both steps.
 
 A pair of candidates is either joined after step 2 or compared in step 3, so no
@@ -30,7 +33,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -42,12 +44,14 @@ SHINGLE = 5
 THRESHOLD = Fraction(8, 10)
 BANDS = 32
 ROWS = 5
-HASHES = BANDS * ROWS
-SKETCH_BITS = 512
-#: A candidate goes if its estimate is this far below the threshold: at it, an
-#: estimate has a standard deviation of 0.03 to 0.04.
-MARGIN = 0.2
+#: Samples: the bands are made of the first ones, the sketch of all.
+HASHES = 640
+SKETCH_BITS = 2048
+#: A candidate goes if its estimate is this far below the threshold: five times the
+#: standard deviation of an estimate there (0.015).
+MARGIN = 0.08
 BLOCK = 1024
+SIEVE = 1 << 22
 
 _DRAW = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _DRAW.integers(1 << 31, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -67,7 +71,7 @@ def minhashes(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """One 64-bit key per band: a hash of its samples and its number."""
-    grouped = samples.reshape(len(samples), BANDS, ROWS).astype(np.uint64)
+    grouped = samples[:, : BANDS * ROWS].reshape(len(samples), BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), grouped.shape[:2]).copy()
     for r in range(ROWS):
         key = spans.scramble(key * np.uint64(0x9E3779B97F4A7C15) + grouped[:, :, r])
@@ -161,32 +165,99 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a[:, None, :] ^ b[None, :, :]).sum(axis=2, dtype=np.int32)
 
 
-def _compare_blocks(most: int):
-    """Pairs from two blocks of a bucket whose sketches are close and whose components differ."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf.side == 0], pdf[pdf.side == 1]
-        if int(pdf.i.iloc[0]) == int(pdf.j.iloc[0]):
-            right = left
-        words = [np.frombuffer(b"".join(x.sketch), np.uint64).reshape(len(x), -1) for x in (left, right)]
-        ids, groups = [x.id.to_numpy() for x in (left, right)], [x.component.to_numpy() for x in (left, right)]
-        found = []
-        for at in range(0, len(left), 64):
-            close = _differing(words[0][at : at + 64], words[1]) <= most
-            close &= groups[0][at : at + 64, None] != groups[1][None, :]
-            x, y = np.nonzero(close)
-            found.append(pd.DataFrame({"a": ids[0][at + x], "b": ids[1][y]}))
-        pairs = pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        return pairs[pairs.a < pairs.b] if right is left else pairs
+def _close_pairs(group: pa.RecordBatch, most: int, threshold: float, closest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pairs from two blocks of a bucket (or one) that may be links of two components."""
+
+    def matrix(column: str, width: int) -> np.ndarray:
+        got = group.column(column)
+        flat = got.flatten().to_numpy() if pa.types.is_list(got.type) else np.frombuffer(b"".join(got.to_pylist()), np.uint64)
+        return flat.reshape(-1, width)
+
+    side = group.column("side").to_numpy()
+    one = group.column("i")[0] == group.column("j")[0]
+    left = np.flatnonzero(side == 0)
+    right = left if one else np.flatnonzero(side == 1)
+    ids, component, size = (group.column(c).to_numpy() for c in ("id", "component", "n_shingles"))
+    sketch, bands = matrix("sketch", SKETCH_BITS // 64), matrix("bands", BANDS)
+    key = group.column("key")[0].as_py()
+    out = []
+    for at in range(0, len(left), 64):
+        mine = left[at : at + 64]
+        able = component[mine][:, None] != component[right][None, :]
+        less, more = np.minimum(size[mine][:, None], size[right]), np.maximum(size[mine][:, None], size[right])
+        able &= less >= threshold * more  # else the sets can't be so similar
+        if not able.any():
+            continue
+        apart = _differing(sketch[mine], sketch[right])
+        x, y = np.nonzero(able & (apart <= most))
+        apart = apart[x, y]
+        x, y = mine[x], right[y]
+        first = (bands[x] == bands[y]).argmax(axis=1)
+        keep = (bands[x, first] == key) & ((ids[x] < ids[y]) | (not one))
+        out.append((ids[x[keep]], ids[y[keep]], apart[keep]))
+    none = np.zeros(0, np.int64)
+    a, b, apart = (np.concatenate([o[i] for o in out] or [none]) for i in range(3))
+    if closest and len(a):
+        # of each member, on either side, the closest pair
+        member, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+        order = np.lexsort((pair, apart[pair], member))
+        leads = np.append(True, member[order][1:] != member[order][:-1])
+        kept = np.unique(pair[order][leads])
+        a, b = a[kept], b[kept]
+    return a, b
+
+
+def _compare_blocks(most: int, threshold: float, closest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket and pair of blocks; the last group waits for the next batch."""
+
+        def pairs(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+            batch = table.combine_chunks().to_batches()[0]
+            found = [_close_pairs(batch.slice(a, b - a), most, threshold, closest) for a, b in zip(edges, edges[1:]) if b - a > 1]
+            a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not table.num_rows:
+                continue
+            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
+            new = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
+            last = int(new[-1]) if len(new) else 0
+            if last:
+                yield pairs(table.slice(0, last), np.append(0, new))
+            held = table.slice(last)
+        if held is not None and held.num_rows:
+            yield pairs(held, np.array([0, held.num_rows]))
 
     return run
 
 
+def _sieved(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` with an id of ``ids``.
+
+    A bitmap of hashes of the ids, of at most SIEVE bits, is broadcast and lets few
+    other rows through to the join, so that most texts aren't shuffled. It is of use
+    while the ids are fewer than its bits, and correct always.
+    """
+    place = lambda: F.pmod(F.xxhash64(F.lit("sieve"), F.col("id")), F.lit(SIEVE)) + 1
+    marked = ids.select(place().alias("_at"))
+    bits = marked.groupBy(F.bitmap_bucket_number("_at").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")
+    )
+    found = texts.withColumn("_at", place()).withColumn("_part", F.bitmap_bucket_number("_at"))
+    found = found.join(F.broadcast(bits), "_part")  # SIEVE / 32768 rows of 4 KB
+    position = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), F.pmod(position, F.lit(8)))) % 2 == 1
+    return found.where(is_set).select("id", "text").join(ids, "id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     """Those (a, b) whose full sets are similar enough. ``texts``: (id, text)."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    bare = texts.join(named, "id", "left_semi").select("id", "text")
-    sets = store(bare.mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>"), "sets")
+    sets = store(_sieved(texts, named).mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>"), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -217,6 +288,7 @@ def near_duplicates(
     least = full.groupBy("digest", "digest2").agg(F.min("id").alias("rep"))
     same = full.select("id", "digest", "digest2").join(least, ["digest", "digest2"]).select("id", "rep")
     same = store(same.distinct(), "same-words")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reps = full.join(same.where("id = rep").select("id"), "id", "left_semi").select("id", "n_shingles", "bands", "sketch")
     reps = store(reps.dropDuplicates(["id"]), "representatives")
     # 2. each with the least of its buckets
@@ -225,32 +297,36 @@ def near_duplicates(
     buckets = store(member.join(bucket, "key").select("key", "id", "lead", "n"), "buckets")
     stars = buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     most = most_differing(threshold)
-    sketch = reps.select("id", "sketch")
     for side in ("a", "b"):
-        stars = stars.join(sketch.select(F.col("id").alias(side), F.col("sketch").alias(f"_{side}")), side)
-    stars = store(stars.where(_differ("_a", "_b") <= most).select("a", "b"), "stars")
+        own = reps.select(F.col("id").alias(side), F.col("sketch").alias(f"_{side}"), F.col("n_shingles").alias(f"_n{side}"))
+        stars = stars.join(own, side)
+    able = F.least("_na", "_nb") >= F.greatest("_na", "_nb") * F.lit(float(threshold) - 1e-9)
+    stars = store(stars.where(able & (_differ("_a", "_b") <= most)).select("a", "b"), "stars")
     links = store(_confirmed(stars, rows, size, threshold), "star-links")
     # 3. buckets that are still of several components
-    part = components(links, "a", "b")
-    held = buckets.join(part.withColumnRenamed("node", "id"), "id", "left")
-    held = held.select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed = held.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
-    open_ = held.join(mixed.select("key"), "key", "left_semi").join(sketch, "id")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64(F.lit("block"), F.col("id")), F.col("blocks")).cast("int")
-    dealt = open_.withColumn("blocks", blocks).withColumn("mine", mine)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", "id", "component", "sketch",
-        F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
-    )
-    close = dealt.groupBy("key", "i", "j").applyInPandas(_compare_blocks(most), "a bigint, b bigint")
-    close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    close = store(close.join(stars, ["a", "b"], "left_anti"), "close")
-    rest = _confirmed(close, rows, size, threshold)
+    tried = stars
+    for closest in (True, False):
+        part = components(links, "a", "b")
+        held = buckets.join(part.withColumnRenamed("node", "id"), "id", "left")
+        held = held.select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+        span = held.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        dealt = held.join(span.where("_low <> _high").select("key"), "key", "left_semi").join(reps, "id")
+        dealt = dealt.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+        dealt = dealt.withColumn("mine", F.pmod(F.xxhash64(F.lit("block"), F.col("id")), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select(
+            "key", "id", "component", "n_shingles", "sketch", "bands",
+            F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+            F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
+        )
+        dealt = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+        compare = _compare_blocks(most, float(threshold) - 1e-9, closest)
+        close = dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
+        close = store(close.join(tried, ["a", "b"], "left_anti"), "close")
+        tried = tried.unionByName(close)
+        links = links.unionByName(store(_confirmed(close, rows, size, threshold), "more-links"))
     # 4. all links
-    final = components(links.unionByName(rest), "a", "b")
+    final = components(links, "a", "b")
     group = same.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")
     group = group.select("id", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("id", "n_shingles").join(group, "id", "left")

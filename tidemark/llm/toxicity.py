@@ -98,19 +98,21 @@ def labelled_words(docs: DataFrame, labels: DataFrame, label: str, id: str, text
 def _descend(label, owner, feature, weight, swaps, start, penalty, sparse, rate, steps):
     """Accelerated proximal gradient descent: log loss, swap penalty and an L1 term.
 
-    ``swaps`` are (text, feature, feature put in its place).
+    ``swaps`` are (feature, feature put in its place, share of the swaps of a term).
     """
     n = len(label)
     w, bias = start
     ahead, t = w.copy(), 1.0
-    text, own, other = swaps
+    own, other, share = swaps
+    # a step no longer than the penalty's curvature allows
+    met = np.bincount(own, share, len(w)) + np.bincount(other, share, len(w))
+    rate = rate / (1 + rate * 4 * penalty * met.max(initial=0) / n)
     for _ in range(steps):
         z = np.bincount(owner, ahead[feature], n) + bias
         off = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - label) * weight / n
         slope = np.bincount(feature, off[owner], len(w))
         if len(own) and penalty:
-            change = np.bincount(text, ahead[other] - ahead[own], n)
-            pull = (2 * penalty / n) * change[text]
+            pull = (2 * penalty / n) * share * (ahead[other] - ahead[own])
             slope += np.bincount(other, pull, len(w)) - np.bincount(own, pull, len(w))
         moved = ahead - rate * slope
         moved = np.sign(moved) * np.maximum(0, np.abs(moved) - rate * sparse)
@@ -144,15 +146,15 @@ def train(
     owner, bucket = owner[keep], bucket[keep]
     # the swaps: each identity term of a text for each other one of its list
     at = np.flatnonzero(listed[bucket] >= 0)
-    pairs = [(owner[i], bucket[i], o) for i in at for o in terms[listed[bucket[i]]] if o != bucket[i]]
-    swaps = np.array(pairs, int).reshape(-1, 3).T
+    pairs = [(b, o, 1 / (len(terms[listed[b]]) - 1)) for b in bucket[at] for o in terms[listed[b]] if o != b]
+    swaps = np.array(pairs, float).reshape(-1, 3).T
     start = np.zeros(BUCKETS), bias
     for l1, times in ((sparse, steps), (sparse / 10, 4 * steps)):
         place = np.flatnonzero(used)
         number = np.full(BUCKETS, -1)
         number[place] = np.arange(len(place))
         mine = used[bucket]
-        held = swaps[0], number[swaps[1]], number[swaps[2]]
+        held = number[swaps[0].astype(int)], number[swaps[1].astype(int)], swaps[2]
         w, bias = _descend(
             label, owner[mine], number[bucket[mine]], weight, held, (start[0][place], bias), penalty, l1, rate, times
         )

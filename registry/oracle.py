@@ -272,7 +272,9 @@ def sessions(gap_seconds: int) -> str:
             then 1 else 0 end as opens from conv))"""
 
 
-SESSION_ID = "user_id || '_sess_' || lpad(cast(n as varchar), 6, '0')"
+SESSION_ID = (
+    "user_id || '_sess_' || repeat('0', greatest(0, 6 - length(cast(n as varchar)))) || cast(n as varchar)"
+)
 
 
 def versions_of(kind: str | None) -> str:
@@ -320,6 +322,7 @@ def masked(x: str) -> str:
 
 
 # Pattern, weight, category; in order of precedence on equal scores.
+# Patterns, weights and categories of injection phrases.
 INJECTION = [
     (r"ignore\s+(all\s+)?previous\s+instructions", 0.9, "ignore_instructions"),
     (r"ignore\s+(all\s+)?prior\s+instructions", 0.9, "ignore_instructions"),
@@ -962,7 +965,7 @@ ORACLE: dict[str, str] = {
         f", {recent('2024-02-10 00:00:00')} "
         + quarantine(
             "2024-02-10 00:00:00",
-            "'Auto-quarantined: exceeded violation thresholds' as quarantine_reason",
+            "'held after repeated severe or one confident critical signal' as quarantine_reason",
             "",
         ),
     ),

@@ -111,7 +111,7 @@ def test_quarantine_rules(spark):
     row = out["sure"]
     assert (row.severity, row.violation_count, row.violation_type) == ("critical", 2, "a")
     assert row.confidence_score == 0.7 and row.is_active and row.reviewed_at is None
-    assert row.quarantine_reason.startswith("Auto-quarantined")
+    assert row.quarantine_reason.startswith("held after")
 
 
 def test_lookback_and_active_accounts(spark):

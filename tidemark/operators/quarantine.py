@@ -9,7 +9,8 @@ SEVERITIES = ["low", "medium", "high", "critical"]
 SEVERE_COUNT = 5
 CRITICAL_CONFIDENCE = 0.7
 LOOKBACK_DAYS = 30
-REASON = "Auto-quarantined: exceeded violation thresholds"
+
+REASON = "held after repeated severe or one confident critical signal"
 
 
 def severity_rank(severity: Column) -> Column:

@@ -20,8 +20,9 @@ def _bucket_seconds(gap_minutes: int) -> int:
 
 
 def session_id(user: str, number: str | Column) -> Column:
-    number = F.col(number) if isinstance(number, str) else number
-    return F.concat(F.col(user), F.lit("_sess_"), F.lpad(number.cast("string"), 6, "0"))
+    """The number is padded to six digits; longer ones are kept whole."""
+    text = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.concat(F.col(user), F.lit("_sess_"), F.lpad(text, F.greatest(F.length(text), F.lit(6)), F.lit("0")))
 
 
 def _numbered(

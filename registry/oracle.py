@@ -822,6 +822,30 @@ ORACLE: dict[str, str] = {
         "bill",
     ),
     "dim_time": sql(CALENDAR, "bill"),
+    "scd2_same_instant": sql(
+        f"""select user_id, state, {stamp('valid_from')} as valid_from, {stamp('valid_to')} as valid_to,
+            valid_to is null as is_current from (
+             select user_id, state, h as valid_from, lead(h) over (partition by user_id order by h) as valid_to
+             from (select *, lag(state) over (partition by user_id order by h) as earlier
+              from (select distinct cast(user_id as varchar) as user_id, date_trunc('hour', ts) as h,
+               cast(hour(ts) // 6 as varchar) as state from events where user_id is not null and ts is not null))
+             where earlier is distinct from state)"""
+    ),
+    "scd2_null_keys": sql(
+        """select event_type as state, event_type = 'error' or user_id is null as no_key,
+            event_type = 'signup' or ts is null as no_time, count(*) as changes from events
+            where event_type in ('error', 'signup') or user_id is null or ts is null group by all"""
+    ),
+    "pit_ties": sql(
+        """select o_orderkey as order_id, case when o_custkey % 10 <> 0 then cast(o_custkey as varchar) end
+            as user_id, case when o_custkey % 10 <> 0 then max(o_orderkey)
+            over (partition by o_custkey, year(cast(o_orderdate as date))) end as held from orders"""
+    ),
+    "rerun_empty_day": sql(
+        """select cast(cast(event_timestamp as date) as varchar) as dt, count(*) as calls from api
+            where cast(event_timestamp as date) <> date '2024-01-15' group by 1""",
+        "api",
+    ),
     "pit_user_join": sql(
         """select event_id, c.user_id, strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f')
             as event_timestamp, m.user_tier, m.country_code

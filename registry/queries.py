@@ -10,7 +10,7 @@ from tidemark.functions import enrich, text
 from tidemark.functions.timestamps import on_day
 from tidemark.operators import anomalies, joins, quality, quarantine, retention, sessions
 from tidemark.operators.dedup import deduplicate_events
-from tidemark.operators.scd2 import keys_with_many_current
+from tidemark.operators.scd2 import apply_scd_type2, empty_dimension, keys_with_many_current, late_changes
 from tidemark.plans import dims, facts, feeds, metrics
 from tidemark.session import scratch_dir
 from tidemark.sources import staging, topics
@@ -365,6 +365,36 @@ def scd2_one_current(spark, sf_dir):
     ).withColumn("broken_users", broken.agg(F.count("*")).scalar())
 
 
+@query
+def scd2_same_instant(spark, sf_dir):
+    """Quarter of the day in which each user is seen, by the hour: repeats share an instant."""
+    events = inputs.table(spark, sf_dir, "events")
+    changes = events.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.floor(F.hour("ts") / 6).cast("string").alias("state"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("changed_at"),
+    )
+    never = empty_dimension(changes, "changed_at")
+    merged = apply_scd_type2(never, changes, "user_id", ["state"], effective_column="changed_at")
+    return merged.select("user_id", "state", "valid_from", "valid_to", "is_current")
+
+
+@query
+def scd2_null_keys(spark, sf_dir):
+    """Changes without key or time open no version and are reported, one row per reason and state."""
+    events = inputs.table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    changes = events.select(
+        F.when(kind != "error", F.col("user_id").cast("string")).alias("user_id"),
+        kind.alias("state"),
+        F.when(kind != "signup", F.col("ts").cast("timestamp_ntz")).alias("changed_at"),
+    )
+    apart = late_changes(empty_dimension(changes, "changed_at"), changes, "user_id", "changed_at")
+    return apart.groupBy(
+        "state", F.col("user_id").isNull().alias("no_key"), F.col("changed_at").isNull().alias("no_time")
+    ).agg(F.count("*").alias("changes"))
+
+
 @query
 def dim_users_current(spark, sf_dir):
     users = inputs.dim_users(spark, sf_dir).where("is_current")
@@ -422,6 +452,31 @@ def pit_user_join(spark, sf_dir):
     return joins.join_valid_at(events, versions, "user_id", TS, ["user_tier", "country_code"])
 
 
+@query
+def pit_ties(spark, sf_dir):
+    """Orders as versions of their customer that may start on one day; the greatest key holds."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("timestamp_ntz")
+    key = F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey").cast("string")).alias("user_id")
+    versions = orders.select(
+        key, F.date_trunc("year", day).cast("timestamp_ntz").alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.col("o_orderkey").alias("held"),
+    )
+    facts = orders.select(F.col("o_orderkey").alias("order_id"), key, day.alias("ordered_at"))
+    return joins.join_valid_at(facts, versions, "user_id", "ordered_at", ["held"]).drop("ordered_at")
+
+
+@query
+def rerun_empty_day(spark, sf_dir):
+    """A rerun that yields no rows leaves none of its day."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "rerun"))
+    fact = facts.fact_api_usage(inputs.api_usage_events(spark, sf_dir)).withColumn("dt", F.to_date(TS))
+    warehouse.write(fact, "FACT_API_USAGE", mode="replace", partition_by=["dt"])
+    none = fact.where(F.lit(False))
+    warehouse.write(none, "FACT_API_USAGE", mode="replace", partition_by=["dt"], period=("dt", DAY))
+    return warehouse.read("FACT_API_USAGE").groupBy("dt").agg(F.count("*").alias("calls"))
+
+
 @query
 def fact_with_keys(spark, sf_dir):
     fact = inputs.api_usage_events(spark, sf_dir).select("event_id", "user_id", "model_id", TS)

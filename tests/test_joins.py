@@ -18,8 +18,31 @@ VERSIONS = (
 )
 
 
-@pytest.mark.parametrize("rows_per_key", [1_000_000, 0])
-def test_point_in_time_matches_brute_force(spark, rows_per_key):
+@pytest.mark.parametrize("bucket_seconds", [300, 10**9])
+def test_point_in_time_ties_and_placeless_facts(spark, bucket_seconds):
+    versions = [
+        ("u", "closed", "a", at(0), at(0)),  # held for no time
+        ("u", "open", "a", at(0), None),
+        ("u", "greater", "z", at(5000), None),
+        ("u", "great", "z", at(5000), None),
+        ("u", "timeless", "z", None, None),
+        (None, "keyless", "z", at(0), None),
+    ]
+    facts = [("1", "u", at(0)), ("2", "u", at(4000)), ("3", "u", at(5000)), ("4", "u", at(90_000)),
+             ("5", None, at(10)), ("6", "u", None), ("7", None, None), ("7", None, None)]
+    for order in (versions, versions[::-1]):
+        out = join_valid_at(
+            spark.createDataFrame(facts, FACTS), spark.createDataFrame(order, VERSIONS),
+            "user_id", "event_timestamp", ["user_sk"], bucket_seconds,
+        )
+        assert sorted((r.event_id, r.user_sk) for r in out.collect()) == [
+            ("1", "open"), ("2", "open"), ("3", "greater"), ("4", "greater"),
+            ("5", None), ("6", None), ("7", None), ("7", None),
+        ]
+
+
+@pytest.mark.parametrize("bucket_seconds", [300, 10**9])
+def test_point_in_time_matches_brute_force(spark, bucket_seconds):
     dice = random.Random(3)
     versions = []
     for user in ("hot", "a", "b"):
@@ -45,7 +68,7 @@ def test_point_in_time_matches_brute_force(spark, rows_per_key):
         "user_id",
         "event_timestamp",
         ["user_sk", "user_tier"],
-        rows_per_key=rows_per_key,
+        bucket_seconds=bucket_seconds,
     )
     assert {r.event_id: r.user_sk for r in out.collect()} == expected
     assert out.columns == ["event_id", "user_id", "event_timestamp", "user_sk", "user_tier"]

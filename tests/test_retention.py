@@ -92,3 +92,12 @@ def test_event_time_is_compared_as_stored(spark):
     df = spark.createDataFrame([(at(0),)], "event_timestamp timestamp_ntz")
     row = retention.expired_count(df, "RAW.SAFETY_EVENTS", "2024-03-31 00:00:00").first()
     assert (str(row.cutoff_date), row.expired_rows) == ("2024-01-01", 0)
+
+
+def test_a_flat_table_is_refused(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    old = spark.sql("select timestamp_ntz '2001-01-01 00:00:00' as event_timestamp")
+    warehouse.write(old, "SAFETY_EVENTS", "RAW")
+    with pytest.raises(ValueError, match="no partitions"):
+        retention.apply_retention(warehouse, "RAW.SAFETY_EVENTS", AS_OF)
+    assert warehouse.read("SAFETY_EVENTS", "RAW").count() == 1

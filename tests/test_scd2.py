@@ -32,12 +32,11 @@ def batch(spark, *rows):
     return spark.createDataFrame(list(rows), INCOMING)
 
 
-@pytest.fixture(params=["whole keys", "bucketed"])
+@pytest.fixture(params=[900, 10**9])
 def merge(request):
-    """Both ways to build the chain: per key, and cut into buckets of 15 minutes."""
-    way = {} if request.param == "whole keys" else {"rows_per_key": 0, "bucket_seconds": 900}
+    """Buckets of 15 minutes, and buckets that hold a key's whole timeline."""
     return lambda existing, incoming: apply_scd_type2(
-        existing, incoming, "user_id", TRACKED, effective_column="changed_at", **way
+        existing, incoming, "user_id", TRACKED, effective_column="changed_at", bucket_seconds=request.param
     )
 
 
@@ -48,6 +47,34 @@ def rows_of(df):
     )
 
 
+def test_same_instant_winner_that_repeats_the_state_opens_nothing(spark, merge):
+    existing = dim(spark, ("u1", "b", "US", None, at(0), None, True), ("u2", "b", "US", None, at(0), None, True))
+    both = [(user, tier, "US", None, at(10)) for user in ("u1", "u2") for tier in ("a", "b")]
+    incoming = batch(spark, *both, ("u2", "c", "US", None, at(2000)))
+    winner = incoming.withColumn("tie", F.xxhash64(*ATTRIBUTES)).where("user_id = 'u1'").orderBy("tie").collect()[-1]
+    got = [r for r in rows_of(merge(existing, incoming)) if r[0] == "u1"]
+    if winner.user_tier == "b":
+        assert got == [("u1", at(0), None, True, "b", "US", "unchanged")]
+    else:
+        assert [r[1:5] for r in got] == [(at(0), at(10), False, "b"), (at(10), None, True, "a")]
+    chain = [r for r in rows_of(merge(existing, incoming)) if r[0] == "u2"]
+    assert all(a[4:6] != b[4:6] for a, b in zip(chain, chain[1:]))
+    assert all(a[2] == b[1] for a, b in zip(chain, chain[1:]))
+
+
+def test_changes_without_key_or_time_are_set_apart(spark, merge):
+    existing = dim(spark, ("u1", "free", "US", None, at(0), None, True))
+    incoming = batch(
+        spark, ("u1", "plus", "US", None, at(10)), (None, "plus", "US", None, at(10)), ("u1", "pro", "US", None, None)
+    )
+    assert rows_of(merge(existing, incoming)) == [
+        ("u1", at(0), at(10), False, "free", "US", "expired"),
+        ("u1", at(10), None, True, "plus", "US", "new_version"),
+    ]
+    apart = late_changes(existing, incoming, "user_id", "changed_at").collect()
+    assert sorted(r.user_tier for r in apart) == ["plus", "pro"]
+
+
 def test_new_keys_open_versions(spark, merge):
     incoming = batch(spark, ("u1", "free", "US", None, at(0)), ("u2", "plus", "DE", None, at(0)))
     out = merge(empty_dimension(incoming, "changed_at"), incoming)

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.timestamps import time_bucket
 from .skew import lookup_join
-from .timeline import BUCKET_SECONDS, ROWS_PER_KEY, carry_in, has_large_key
+from .timeline import BUCKET_SECONDS, carry_in
+
+#: Groups that facts without key or time are dealt to.
+PLACELESS = 4096
 
 
 def join_valid_at(
@@ -16,57 +19,50 @@ def join_valid_at(
     ts: str,
     columns: list[str],
     bucket_seconds: int = BUCKET_SECONDS,
-    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """Left as-of join: each fact gets ``columns`` of the version valid at its time.
 
-    Facts and version starts are laid on one timeline per key and the last start
-    is carried forward, so the work is linear in both; a range join would pair
-    each fact of a key with all of the key's versions.
+    Facts and version starts are laid on one timeline per key, cut into buckets, and
+    the last start is carried forward, so the work is linear in both; a range join
+    would pair each fact of a key with all of the key's versions.
+
+    A fact without key or time gets NULLs, as does one whose key has no version then.
+    Of versions that start at one instant the one that ends last holds, then the one
+    with the greatest ``columns``.
     """
-    starts = versions.where(F.col("valid_from").isNotNull()).select(
+    starts = versions.where(F.col("valid_from").isNotNull() & F.col(key).isNotNull()).select(
         key,
         F.col("valid_from").alias(ts),
-        F.struct(*columns, "valid_to").alias("_version"),
+        F.struct(F.col("valid_to").isNull().alias("_open"), "valid_to", *columns).alias("_version"),
         F.lit(0).alias("_turn"),
     )
     line = facts.withColumn("_turn", F.lit(1)).unionByName(starts, allowMissingColumns=True)
-    if has_large_key(line.select(key), [key], rows_per_key):
-        found = _last_start_bucketed(line, key, ts, bucket_seconds)
-    else:
-        found = _last_start(line, [key], ts).where(F.col("_turn") == 1)
-    holds = F.col("_found.valid_to").isNull() | (F.col(ts) < F.col("_found.valid_to"))
-    return found.select(
-        *[F.col(c) for c in facts.columns],
-        *[F.when(holds, F.col(f"_found.{c}")).alias(c) for c in columns],
+    # Facts that have no place meet no version wherever they go: spread by content.
+    placeless = F.col(key).isNull() | F.col(ts).isNull()
+    plain = [c for c, kind in facts.dtypes if "map<" not in kind and kind != "variant"]
+    line = line.withColumns(
+        {
+            "_bucket": time_bucket(ts, bucket_seconds),
+            "_spread": F.when(placeless, F.pmod(F.xxhash64(*plain), F.lit(PLACELESS))),
+        }
     )
-
-
-def _last_start(line: DataFrame, partition: list[str], ts: str) -> DataFrame:
     so_far = (
-        Window.partitionBy(*partition)
-        .orderBy(ts, "_turn")
+        Window.partitionBy(key, "_bucket", "_spread")
+        .orderBy(ts, "_turn", "_version")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    known = F.last("_version", ignorenulls=True).over(so_far)
-    # Facts without key belong to no user, whatever versions lack a key.
-    return line.withColumn("_found", F.when(F.col(partition[0]).isNotNull(), known))
-
-
-def _last_start_bucketed(line: DataFrame, key: str, ts: str, bucket_seconds: int) -> DataFrame:
-    line = line.withColumn("_bucket", time_bucket(ts, bucket_seconds))
-    before = carry_in(
-        line.select(key, "_bucket", ts, "_turn", "_version"),
-        [key],
-        "_bucket",
-        [ts, "_turn"],
-        ["_version"],
-    )
-    return (
-        _last_start(line, [key, "_bucket"], ts)
-        .where(F.col("_turn") == 1)
+    placed = line.where("_spread is null").select(key, "_bucket", ts, "_turn", "_version")
+    before = carry_in(placed, [key], "_bucket", [ts, "_turn"], ["_version"])
+    found = (
+        line.withColumn("_here", F.last("_version", ignorenulls=True).over(so_far))
+        .where("_turn = 1")
         .join(before, [key, "_bucket"], "left")
-        .withColumn("_found", F.coalesce("_found", "_in__version"))
+        .withColumn("_found", F.coalesce("_here", "_in__version"))
+    )
+    holds = F.col("_found.valid_to").isNull() | (F.col(ts) < F.col("_found.valid_to"))
+    return found.select(
+        *[F.col(c) for c in facts.columns],
+        *[F.when(holds, F.col(f"_found.{c}")).alias(c) for c in columns],
     )
 
 

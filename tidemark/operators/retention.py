@@ -85,8 +85,9 @@ def apply_retention(warehouse: Warehouse, table: str, as_of: str) -> int:
     """Delete a stored table's expired rows; returns how many, and logs them.
 
     Only partitions that hold expired rows are touched: fully expired ones are
-    dropped, the others rewritten. Partitioned tables only, since rewriting a
-    flat table in place could lose it half-way.
+    dropped, the others rewritten. A flat table is refused, since rewriting it in
+    place could lose it half-way. The log entry follows the delete, so that it never
+    names rows that are still there.
     """
     if cutoff(table, as_of) is None:
         log.warning("no retention policy for %s", table)
@@ -94,7 +95,9 @@ def apply_retention(warehouse: Warehouse, table: str, as_of: str) -> int:
     schema, name = table.split(".")
     stored = warehouse.partitions(name, schema)
     if not stored:
-        return 0
+        if warehouse.read(name, schema).isEmpty():
+            return 0
+        raise ValueError(f"{table} has no partitions to drop or rewrite")
     period = stored[0][0]
     data = warehouse.read(name, schema)
     gone = _expired(table, as_of)
@@ -108,9 +111,7 @@ def apply_retention(warehouse: Warehouse, table: str, as_of: str) -> int:
     deleted = sum(r.expired for r in tally)
     if not deleted:
         return 0
-    audit = audit_rows(expired_count(data, table, as_of), as_of)
-    warehouse.write(audit, "RETENTION_AUDIT_LOG", "RAW", "append")
-    mixed = [r.part for r in tally if r.kept]
+    mixed =[r.part for r in tally if r.kept]
     if mixed:
         rewritten = data.where(F.col(period).cast("string").isin(mixed)).where(~gone)
         warehouse.write(rewritten, name, schema, "replace", [period])
@@ -118,6 +119,9 @@ def apply_retention(warehouse: Warehouse, table: str, as_of: str) -> int:
     for column, value in stored:
         if value in empty:
             warehouse.drop_partition(name, schema, column, value)
+    done = small_table(warehouse.spark, [(table, deleted)], "table_name string, expired_rows bigint")
+    done = done.withColumn("cutoff_date", F.lit(cutoff(table, as_of)).cast("date"))
+    warehouse.write(audit_rows(done, as_of), "RETENTION_AUDIT_LOG", "RAW", "append")
     return deleted
 
 

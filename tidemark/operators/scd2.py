@@ -1,9 +1,12 @@
 """Slowly changing dimension, type 2, as a version chain.
 
 Incoming rows are ordered by their effective time, attributes left NULL are
-carried forward, rows that repeat the previous state are dropped, and each kept
-row closes the one before it. Where a key has very many changes, the comparisons are
-bucketed (see ``timeline``) so that they do not land in one task.
+carried forward, of several rows at one instant the last one stands, rows that
+repeat the previous state are dropped, and each kept row closes the one before it.
+Comparisons are bucketed (see ``timeline``), so that a key with very many changes
+does not land in one task. Rows at one instant are ordered by a hash of their
+attributes, so that reruns agree. A change without key or effective time can't be
+placed: it opens no version and is reported with the late ones.
 """
 
 from __future__ import annotations
@@ -15,8 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.enrich import surrogate_key as make_key
 from ..functions.timestamps import time_bucket
 from ..session import cut_lineage
-from .skew import lookup_join
-from .timeline import BUCKET_SECONDS, ROWS_PER_KEY, carry_in, has_large_key, next_start
+from .timeline import BUCKET_SECONDS, carry_in, next_start
 
 
 def empty_dimension(incoming: DataFrame, effective_column: str) -> DataFrame:
@@ -46,22 +48,21 @@ def _key_state(existing: DataFrame, key: str, attributes: list[str]) -> DataFram
 def _judge(
     existing: DataFrame, incoming: DataFrame, key: str, effective: str
 ) -> DataFrame:
-    """Incoming rows with their key's state and whether they come too late."""
+    """Incoming rows with their key's state and whether they come too late or have no place."""
     attributes = [c for c in existing.columns if c in incoming.columns and c != key]
     state = _key_state(existing, key, attributes)
-    judged = lookup_join(incoming, state, [key], bounded_by=existing)
-    return judged.withColumn(
-        "_late", F.coalesce(F.col(effective) <= F.col("_floor"), F.lit(False))
-    )
+    late = F.coalesce(F.col(effective) <= F.col("_floor"), F.lit(False))
+    placeless = F.col(key).isNull() | F.col(effective).isNull()
+    return incoming.join(state, key, "left").withColumn("_late", late | placeless)
 
 
 def late_changes(
     existing: DataFrame, incoming: DataFrame, natural_key: str, effective_column: str
 ) -> DataFrame:
-    """Changes at or before their key's settled time.
+    """Changes at or before their key's settled time, and those without key or time.
 
-    They would rewrite closed versions; the merge leaves them out, and a caller
-    can report them with this.
+    They would rewrite closed versions or have no place; the merge leaves them out,
+    and a caller can report them with this.
     """
     judged = _judge(existing, incoming, natural_key, effective_column)
     return judged.where("_late").drop("_floor", "_open", "_late")
@@ -79,28 +80,27 @@ def _new_versions(
     attributes: list[str],
     tracked: list[str],
     effective: str,
-    bucket_seconds: int | None,
+    bucket_seconds: int,
 ) -> DataFrame:
-    """Versions the accepted changes open; bucketed unless ``bucket_seconds`` is None."""
-    rows = accepted.withColumns({"_tie": F.xxhash64(*attributes), "_seen": F.lit(True)})
+    """Versions the accepted changes open."""
     order = [effective, "_tie"]
-    place = [key]
-    if bucket_seconds is not None:
-        place = [key, "_bucket"]
-        rows = rows.withColumn("_bucket", time_bucket(effective, bucket_seconds))
-        rows = rows.join(
-            carry_in(rows, [key], "_bucket", order, [*attributes, "_seen"]), place
-        )
+    place = [key, "_bucket"]
+    rows = accepted.withColumns(
+        {
+            "_tie": F.xxhash64(*attributes),
+            "_seen": F.lit(True),
+            "_bucket": time_bucket(effective, bucket_seconds),
+        }
+    )
+    rows = rows.join(carry_in(rows, [key], "_bucket", order, [*attributes, "_seen"]), place)
     chain = Window.partitionBy(*place).orderBy(*order)
 
     def entering(c: str) -> Column:
         """What held before the first row of this place: earlier buckets, then the open version."""
-        earlier = [F.col(f"_in_{c}")] if bucket_seconds is not None else []
-        return F.coalesce(*earlier, F.col(f"_open.{c}"))
+        return F.coalesce(F.col(f"_in_{c}"), F.col(f"_open.{c}"))
 
-    known = F.col("_open").isNotNull()
-    if bucket_seconds is not None:
-        known = known | F.col("_in__seen")
+    known = F.col("_open").isNotNull() | F.col("_in__seen")
+    following = F.lead(effective).over(chain)
     kept = (
         rows.withColumns(
             {
@@ -109,32 +109,28 @@ def _new_versions(
                     c: F.coalesce(F.last(c, ignorenulls=True).over(chain), entering(c))
                     for c in attributes
                 },
+                "_following": following,
             }
         )
+        # Of several changes at one instant, all in one bucket, only the last one ever held.
+        .where(F.col("_following").isNull() | (F.col("_following") > F.col(effective)))
         .withColumn(
             "_previous", F.coalesce(F.lag(F.struct(*attributes)).over(chain), F.col("_entering"))
         )
         .where(F.col("_previous").isNull() | _differs(tracked, "_previous"))
         .select(*place, "_tie", "_floor", effective, *attributes)
     )
-    closes = F.lead(effective).over(chain)
-    if bucket_seconds is not None:
-        # Read three times from here on (closing times, chain, result).
-        kept = cut_lineage(kept)
-        kept = kept.join(next_start(kept, [key], "_bucket", effective), place)
-        closes = F.coalesce(closes, F.col("_next_start"))
-    return (
-        kept.withColumn("valid_to", closes)
-        # Of several changes at one instant only the last one ever held.
-        .where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col(effective)))
-        .select(
-            key,
-            *attributes,
-            F.col(effective).alias("valid_from"),
-            "valid_to",
-            F.col("valid_to").isNull().alias("is_current"),
-            F.when(F.col("_floor").isNull(), "new_key").otherwise("new_version").alias("change_kind"),
-        )
+    # Read three times from here on (closing times, chain, result).
+    kept = cut_lineage(kept)
+    kept = kept.join(next_start(kept, [key], "_bucket", effective), place)
+    closes = F.coalesce(following, F.col("_next_start"))
+    return kept.withColumn("valid_to", closes).select(
+        key,
+        *attributes,
+        F.col(effective).alias("valid_from"),
+        "valid_to",
+        F.col("valid_to").isNull().alias("is_current"),
+        F.when(F.col("_floor").isNull(), "new_key").otherwise("new_version").alias("change_kind"),
     )
 
 
@@ -147,7 +143,6 @@ def apply_scd_type2(
     effective_column: str | None = None,
     as_of: str | None = None,
     bucket_seconds: int = BUCKET_SECONDS,
-    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """The whole dimension after the batch, each row with its ``change_kind``.
 
@@ -177,14 +172,13 @@ def apply_scd_type2(
 
     # Read several times below: to number, to fill and to tell which keys it holds.
     judged = cut_lineage(_judge(existing, incoming_data, natural_key, effective_column))
-    large = has_large_key(judged, [natural_key], rows_per_key)
     fresh = _new_versions(
         judged.where(~F.col("_late")),
         natural_key,
         attributes,
         tracked_columns,
         effective_column,
-        bucket_seconds if large else None,
+        bucket_seconds,
     )
 
     never = F.lit(None).cast(instant)

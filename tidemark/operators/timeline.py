@@ -1,11 +1,12 @@
 """Carry values along a per-key timeline without a huge key in one task.
 
-A window over a whole key puts all its rows into one task. Where a count shows
-that some key is too large for that, each key's timeline is cut into time
-buckets: rows are compared inside (key, bucket), and what crosses a bucket
-border comes from a summary with one row per (key, bucket). The per-key window
-then runs over that summary only, whose size is bounded by the calendar and not
-by the number of events.
+A window over a whole key would put all its rows into one task. Each key's
+timeline is therefore cut into time buckets, at every size: rows are compared
+inside (key, bucket), and what crosses a bucket border comes from a summary with
+one row per (key, bucket). The per-key window runs over that summary only, whose
+size is bounded by the calendar and not by the number of events.
+
+Rows without key or time have no place on a timeline; callers set them apart.
 """
 
 from __future__ import annotations
@@ -13,14 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 BUCKET_SECONDS = 300
-ROWS_PER_KEY = 1_000_000
-
-
-def has_large_key(df: DataFrame, key: list[str], limit: int = ROWS_PER_KEY) -> bool:
-    """Whether some key has more rows than one task should sort (counted map-side)."""
-    counts = df.groupBy(*key).agg(F.count("*").alias("_n"))
-    largest = counts.agg(F.max("_n")).first()[0]
-    return (largest or 0) > limit
 
 
 def carry_in(

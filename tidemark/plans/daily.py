@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from ..operators import quality
 from ..operators.dedup import deduplicate_events
 from ..operators.joins import resolve_keys
-from ..operators.scd2 import late_changes
+from ..operators.scd2 import empty_dimension, late_changes
 from ..operators.sessions import session_state
 from ..session import cut_lineage
 from ..sources.staging import read_days
@@ -37,13 +37,17 @@ def load_dimensions(spark: SparkSession, staging: str, warehouse: Warehouse, day
 
     Changes too late for the merge are kept in RAW.LATE_USER_CHANGES.
     """
-    changes = dims.user_changes(_staged(spark, staging, "user_events", day))
-    if not changes.isEmpty():
+    changes = cut_lineage(dims.user_changes(_staged(spark, staging, "user_events", day)))
+    if changes.isEmpty():
+        # A rerun takes back what an earlier run of the day made of its changes.
+        warehouse.drop_partition("LATE_USER_CHANGES", "RAW", "dt", day)
+        warehouse.drop_partition("DIM_USERS", "WAREHOUSE", "snapshot", day)
+    else:
         before = warehouse.read_snapshot("DIM_USERS", day, before=True)
-        if before is not None:
-            late = late_changes(before, changes, "user_id", "changed_at")
-            late = late.withColumn("dt", F.lit(day).cast("date"))
-            warehouse.write(late, "LATE_USER_CHANGES", "RAW", "replace", ["dt"])
+        known = empty_dimension(changes, "changed_at") if before is None else before
+        late = late_changes(known, changes, "user_id", "changed_at")
+        late = late.withColumn("dt", F.lit(day).cast("date"))
+        warehouse.write(late, "LATE_USER_CHANGES", "RAW", "replace", ["dt"], ("dt", day))
         merged = dims.merge_users(before, changes)
         warehouse.write_snapshot(merged.drop("change_kind"), "DIM_USERS", day)
     known_models = warehouse.read_snapshot("DIM_MODELS", day, before=True)
@@ -80,7 +84,7 @@ def _store(
     )
     written = Observation()
     stored = stored.observe(written, F.count("*").alias("rows"))
-    warehouse.write(stored, table, schema, "replace", ["dt"])
+    warehouse.write(stored, table, schema, "replace", ["dt"], ("dt", day))
     return written.get["rows"]
 
 

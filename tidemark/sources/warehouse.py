@@ -1,7 +1,8 @@
 """Warehouse tables as Parquet folders, one per ``schema/table``.
 
 Facts and canonical metrics are partitioned by period and written with dynamic
-partition overwrite, so a rerun replaces its own period and nothing else. The
+partition overwrite, so a rerun replaces its own period and nothing else; one that
+names its period replaces it with nothing if it yields no rows. The
 user dimension is kept as dated snapshots: a run reads the snapshot before its
 day and writes its own, so neither a rerun nor a crash can damage a table that
 is being read.
@@ -44,13 +45,19 @@ class Warehouse:
         schema: str = "WAREHOUSE",
         mode: str = "append",
         partition_by: list[str] | None = None,
+        period: tuple[str, str] | None = None,
     ) -> None:
-        """``append``, ``overwrite`` (whole table) or ``replace`` (the partitions in ``df``)."""
+        """``append``, ``overwrite`` (whole table) or ``replace`` (the partitions in ``df``).
+
+        ``period`` names the (column, value) of the one first-level partition that a
+        ``replace`` is about: it is dropped if ``df`` turns out to be empty.
+        """
         partition_by = partition_by or []
         if mode not in ("append", "overwrite", "replace"):
             raise ValueError(f"unknown mode: {mode}")
         if mode == "replace" and not partition_by:
             raise ValueError("replace needs partition columns")
+        before = self._files(table, schema, period) if period else set()
         writer = (df.hint("rebalance", *partition_by) if partition_by else df).write
         writer = writer.option(
             "partitionOverwriteMode", "dynamic" if mode == "replace" else "static"
@@ -59,6 +66,19 @@ class Warehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(schema, table))
+        # Each write names its files anew: old names mean that nothing replaced them.
+        if before & (self._files(table, schema, period) if period else set()):
+            self.drop_partition(table, schema, *period)
+
+    def _files(self, table: str, schema: str, period: tuple[str, str]) -> set[str]:
+        """Paths of the files of a partition; no data is read."""
+        fs, path = self._fs(f"{self.path(schema, table)}/{period[0]}={period[1]}")
+        if not fs.exists(path):
+            return set()
+        found, files = set(), fs.listFiles(path, True)
+        while files.hasNext():
+            found.add(files.next().getPath().toString())
+        return found
 
     def partitions(self, table: str, schema: str = "WAREHOUSE") -> list[tuple[str, str]]:
         """(column, value) of the first-level partitions; folder names only, no data."""
@@ -78,6 +98,7 @@ class Warehouse:
             table,
             mode="replace",
             partition_by=["snapshot"],
+            period=("snapshot", day),
         )
 
     def read_snapshot(self, table: str, day: str, before: bool = False) -> DataFrame | None:

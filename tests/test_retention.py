@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from conftest import at
 from pyspark.sql import functions as F
 

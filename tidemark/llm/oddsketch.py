@@ -15,10 +15,12 @@ The steps, and what keeps them linear where thousands of documents are alike:
    pairs are judged and confirmed, and components formed.
 3. A bucket that still holds several components is examined whole: its members are
    dealt to blocks, each pair of blocks is compared by sketches within a task, and
-   only pairs from different components that pass come out, to be confirmed; a pair
-   that shares several buckets comes out of the first one. That is done twice: a
-   first round lets out the closest pair of each member only, which ties most
-   large groups together; the second lets out all that still are apart.
+   the members come out that have a candidate in another component; a pair that
+   shares several buckets is looked at in the first one. Those members, now with
+   their full sets, are dealt to blocks again, and candidates are confirmed within
+   the task, the closest first. A link comes out if it ties two components that the
+   task has not tied yet, so that what comes out grows with the members and not with
+   their pairs.
 4. Components over the links of both steps.
 
 A pair of candidates is either joined after step 2 or compared in step 3, so no
@@ -51,6 +53,8 @@ SKETCH_BITS = 2048
 #: standard deviation of an estimate there (0.015).
 MARGIN = 0.08
 BLOCK = 1024
+#: Shingles of a block of full sets, where it has several members.
+SET_BLOCK = 1 << 21
 SIEVE = 1 << 22
 
 _DRAW = np.random.Generator(np.random.PCG64(77))
@@ -165,8 +169,8 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a[:, None, :] ^ b[None, :, :]).sum(axis=2, dtype=np.int32)
 
 
-def _close_pairs(group: pa.RecordBatch, most: int, threshold: float, closest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs from two blocks of a bucket (or one) that may be links of two components."""
+def _candidates(group: pa.RecordBatch, most: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and differing bits of the pairs from two blocks of a bucket (or one) that may link two components."""
 
     def matrix(column: str, width: int) -> np.ndarray:
         got = group.column(column)
@@ -180,7 +184,7 @@ def _close_pairs(group: pa.RecordBatch, most: int, threshold: float, closest: bo
     ids, component, size = (group.column(c).to_numpy() for c in ("id", "component", "n_shingles"))
     sketch, bands = matrix("sketch", SKETCH_BITS // 64), matrix("bands", BANDS)
     key = group.column("key")[0].as_py()
-    out = []
+    out = [(np.zeros(0, np.int64),) * 3]
     for at in range(0, len(left), 64):
         mine = left[at : at + 64]
         able = component[mine][:, None] != component[right][None, :]
@@ -194,28 +198,74 @@ def _close_pairs(group: pa.RecordBatch, most: int, threshold: float, closest: bo
         x, y = mine[x], right[y]
         first = (bands[x] == bands[y]).argmax(axis=1)
         keep = (bands[x, first] == key) & ((ids[x] < ids[y]) | (not one))
-        out.append((ids[x[keep]], ids[y[keep]], apart[keep]))
-    none = np.zeros(0, np.int64)
-    a, b, apart = (np.concatenate([o[i] for o in out] or [none]) for i in range(3))
-    if closest and len(a):
-        # of each member, on either side, the closest pair
-        member, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
-        order = np.lexsort((pair, apart[pair], member))
-        leads = np.append(True, member[order][1:] != member[order][:-1])
-        kept = np.unique(pair[order][leads])
-        a, b = a[kept], b[kept]
-    return a, b
-
-
-def _compare_blocks(most: int, threshold: float, closest: bool):
+        out.append((x[keep], y[keep], apart[keep]))
+    return tuple(np.concatenate(part) for part in zip(*out))
+
+
+def _members(most: int, threshold: float):
+    """(key, id, component) of the members of a group that have a candidate in another component."""
+
+    def found(group: pa.RecordBatch) -> pa.RecordBatch:
+        x, y, _ = _candidates(group, most, threshold)
+        return group.select(["key", "id", "component"]).take(pa.array(np.union1d(x, y)))
+
+    return found
+
+
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others."""
+    flat = np.concatenate(others)
+    place = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    return np.add.reduceat(one[place] == flat, np.cumsum([0] + [len(o) for o in others[:-1]]), dtype=np.int64)
+
+
+def _ties(most: int, least: float, threshold: Fraction):
+    """(a, b) of confirmed links that tie the components of a group together, each tie once."""
+
+    def found(group: pa.RecordBatch) -> pa.RecordBatch:
+        x, y, apart = _candidates(group, most, least)
+        ids, component = group.column("id").to_numpy(), group.column("component").to_numpy()
+        shingles = group.column("shingles")
+        flat, edge = shingles.flatten().to_numpy(), np.append(0, np.cumsum(shingles.value_lengths().to_numpy()))
+        sets = lambda i: flat[edge[i] : edge[i + 1]]
+        # members in the order of their closest candidate, each with its candidates
+        order = np.lexsort((apart, x))
+        x, y, apart = x[order], y[order], apart[order]
+        begin = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+        end = np.append(begin[1:], len(x))
+        now = component.copy()
+        links = []
+        for k in np.argsort(apart[begin], kind="stable"):
+            mine, others = x[begin[k]], y[begin[k] : end[k]]
+            others = others[now[others] != now[mine]]
+            own = np.sort(sets(mine))
+            for at in range(0, len(others), 256):
+                part = others[at : at + 256]
+                shared = _shared(own, [sets(o) for o in part])
+                union = len(own) + edge[part + 1] - edge[part] - shared
+                for other in part[shared * threshold.denominator >= union * threshold.numerator]:
+                    if now[other] != now[mine]:
+                        links.append((ids[mine], ids[other]))
+                        now[now == now[other]] = now[mine]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["a", "b"])
+
+    return found
+
+
+def _by_blocks(found):
+    """Apply ``found`` to each pair of blocks of a bucket that has two members or more."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by bucket and pair of blocks; the last group waits for the next batch."""
 
-        def pairs(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+        def groups(table: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
             batch = table.combine_chunks().to_batches()[0]
-            found = [_close_pairs(batch.slice(a, b - a), most, threshold, closest) for a, b in zip(edges, edges[1:]) if b - a > 1]
-            a, b = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            for a, b in zip(edges, edges[1:]):
+                if b - a > 1:
+                    out = found(batch.slice(a, b - a))
+                    if out.num_rows:
+                        yield out
 
         held = None
         for batch in batches:
@@ -226,14 +276,26 @@ def _compare_blocks(most: int, threshold: float, closest: bool):
             new = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
             last = int(new[-1]) if len(new) else 0
             if last:
-                yield pairs(table.slice(0, last), np.append(0, new))
+                yield from groups(table.slice(0, last), np.append(0, new))
             held = table.slice(last)
         if held is not None and held.num_rows:
-            yield pairs(held, np.array([0, held.num_rows]))
+            yield from groups(held, np.array([0, held.num_rows]))
 
     return run
 
 
+def _dealt(members: DataFrame, parts: int) -> DataFrame:
+    """Members (key, id, ..., blocks) once for each pair of blocks that theirs is of, sorted by pair."""
+    dealt = members.withColumn("mine", F.pmod(F.xxhash64(F.lit("block"), F.col("id")), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        *[c for c in members.columns if c != "blocks"],
+        F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
+    )
+    return dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def _sieved(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """``texts`` with an id of ``ids``.
 
@@ -304,27 +366,24 @@ def near_duplicates(
     stars = store(stars.where(able & (_differ("_a", "_b") <= most)).select("a", "b"), "stars")
     links = store(_confirmed(stars, rows, size, threshold), "star-links")
     # 3. buckets that are still of several components
-    tried = stars
-    for closest in (True, False):
-        part = components(links, "a", "b")
-        held = buckets.join(part.withColumnRenamed("node", "id"), "id", "left")
-        held = held.select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-        span = held.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        dealt = held.join(span.where("_low <> _high").select("key"), "key", "left_semi").join(reps, "id")
-        dealt = dealt.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-        dealt = dealt.withColumn("mine", F.pmod(F.xxhash64(F.lit("block"), F.col("id")), F.col("blocks")).cast("int"))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select(
-            "key", "id", "component", "n_shingles", "sketch", "bands",
-            F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-            F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
-        )
-        dealt = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-        compare = _compare_blocks(most, float(threshold) - 1e-9, closest)
-        close = dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
-        close = store(close.join(tried, ["a", "b"], "left_anti"), "close")
-        tried = tried.unionByName(close)
-        links = links.unionByName(store(_confirmed(close, rows, size, threshold), "more-links"))
+    part = components(links, "a", "b")
+    held = buckets.join(part.withColumnRenamed("node", "id"), "id", "left")
+    held = held.select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    span = held.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    held = held.join(span.where("_low <> _high").select("key"), "key", "left_semi").join(reps, "id")
+    held = held.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n")
+    least = float(threshold) - 1e-9
+    undecided = _dealt(held, parts).mapInArrow(
+        _by_blocks(_members(most, least)), "key bigint, id bigint, component bigint"
+    )
+    undecided = store(undecided.distinct(), "undecided")
+    sets = _sieved(rows, undecided.select("id").distinct()).mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>")
+    members = undecided.join(reps, "id")
+    weight = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / SET_BLOCK)).cast("int")
+    members = members.join(weight, "key").withColumn("blocks", blocks).drop("n", "total").join(sets, "id")
+    ties = _dealt(members, parts).mapInArrow(_by_blocks(_ties(most, least, threshold)), "a bigint, b bigint")
+    links = links.unionByName(store(ties, "more-links"))
     # 4. all links
     final = components(links, "a", "b")
     group = same.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")

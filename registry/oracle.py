@@ -672,6 +672,9 @@ ORACLE: dict[str, str] = {
     "stream_ingest": f"""select cast(cast(event_timestamp as date) as varchar) as dt,
         hour(event_timestamp) as hr, event_type, count(*) as events,
         cast(sum(latency_ms) as bigint) as latency_ms from ({STREAMED}) group by all""",
+    "stream_then_backfill": f"""select cast(cast(event_timestamp as date) as varchar) as dt,
+        hour(event_timestamp) as hr, event_type, 2 * count(*) as events,
+        cast(2 * sum(latency_ms) as bigint) as latency_ms from ({STREAMED}) group by all""",
     "stream_dedup": f"""select event_id, event_type, {stamp('event_timestamp')} as event_timestamp,
         user_id from ({STREAMED})""",
     "stream_sessions": f"with st as ({STREAMED}) {STREAM_SESSIONS}",

@@ -127,8 +127,12 @@ def _event_stream(spark, sf_dir) -> DataFrame:
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
+    return _streamed(source)
+
+
+def _streamed(source) -> DataFrame:
     kind = F.col("event_type")
-    events = source.select(
+    return source.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.when(kind == "signup", "session_start")
         .when(kind == "error", "conversation_rated")
@@ -138,21 +142,35 @@ def _event_stream(spark, sf_dir) -> DataFrame:
         inputs.uid("user_id").alias("user_id"),
         F.floor(F.col("value") * 10).alias("latency_ms"),
     )
-    return events
 
 
 @query
 def stream_ingest(spark, sf_dir):
     root = scratch_dir(spark, "landing")
     records = topics.to_records(_event_stream(spark, sf_dir))
-    for started in ingest.land_topic(records, "conversation_events", root, f"{root}/_checkpoints", None):
-        started.awaitTermination()
+    ingest.land_topic(records, "conversation_events", root, f"{root}/_checkpoints", None).awaitTermination()
+    return _landed(spark, root)
+
+
+def _landed(spark, root):
     landed = staging.read_days(spark, root, "conversation_events", "2000-01-01", "2100-01-01")
     return landed.groupBy("dt", "hr", "event_type").agg(
         F.count("*").alias("events"), F.sum("latency_ms").alias("latency_ms")
     )
 
 
+@query
+def stream_then_backfill(spark, sf_dir):
+    """The stream and a backfill of the same hours land in one folder; both stay."""
+    root = scratch_dir(spark, "landing")
+    records = topics.to_records(_event_stream(spark, sf_dir))
+    ingest.land_topic(records, "conversation_events", root, f"{root}/_checkpoints", None).awaitTermination()
+    records = topics.to_records(_streamed(inputs.table(spark, sf_dir, "events")))
+    events = staging.with_partitions(topics.flatten(topics.decode(records), "conversation_events"))
+    staging.write_days(events.withColumn("_ingested_at", F.current_timestamp()), root, "conversation_events")
+    return _landed(spark, root)
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Each rating arrives twice; the stream lets one of the two through."""

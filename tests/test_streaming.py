@@ -87,8 +87,7 @@ def test_land_topic_resumes_and_sets_bad_records_aside(spark, tmp_path):
 
     def run():
         stream = spark.readStream.text(str(source))
-        for query in ingest.land_topic(stream, TOPIC, str(root), str(tmp_path / "cp"), None):
-            query.awaitTermination()
+        ingest.land_topic(stream, TOPIC, str(root), str(tmp_path / "cp"), None).awaitTermination()
 
     write_lines(source, [envelope(1), envelope(2, 86_400), "broken"])
     run()
@@ -102,6 +101,46 @@ def test_land_topic_resumes_and_sets_bad_records_aside(spark, tmp_path):
     assert spark.read.text(str(root / "_dead_letters" / TOPIC)).count() == 1
 
 
+def test_stream_and_backfill_share_a_topic(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+
+    def backfill(*lines):
+        events = staging.with_partitions(flat(spark, lines))
+        staging.write_days(events.withColumn("_ingested_at", F.current_timestamp()), root, TOPIC)
+
+    def land(checkpoint):
+        stream = spark.readStream.text(str(source))
+        ingest.land_topic(stream, TOPIC, root, str(tmp_path / checkpoint), None).awaitTermination()
+
+    def ids():
+        return sorted(r.event_id for r in staging.read_days(spark, root, TOPIC, "2024-01-01").collect())
+
+    write_lines(source, [envelope(1)])
+    land("cp")
+    backfill(envelope(2), envelope(3, 3600))
+    assert ids() == ["e1", "e2", "e3"]
+    backfill(envelope(4))  # replaces the backfill of this hour, not the stream's rows
+    assert ids() == ["e1", "e3", "e4"]
+    land("another")  # batch numbers start anew, rows of the first query stay
+    assert ids() == ["e1", "e1", "e3", "e4"]
+
+
+def test_a_batch_tried_again_lands_once(spark, tmp_path):
+    source, root, checkpoint = tmp_path / "in", str(tmp_path / "out"), tmp_path / "cp"
+
+    def land():
+        stream = spark.readStream.text(str(source))
+        ingest.land_topic(stream, TOPIC, root, str(checkpoint), None).awaitTermination()
+
+    write_lines(source, [envelope(1), envelope(2), "broken"])
+    land()
+    for entry in (checkpoint / TOPIC / "commits").iterdir():  # as if ended before the commit
+        entry.unlink()
+    land()
+    assert staging.read_days(spark, root, TOPIC, "2024-01-01").count() == 2
+    assert spark.read.text(f"{root}/_dead_letters/{TOPIC}").count() == 1
+
+
 def test_day_scan_prunes_partitions(spark, tmp_path):
     events = staging.with_partitions(flat(spark, [envelope(1), envelope(2, 86_400)]))
     staging.write_days(

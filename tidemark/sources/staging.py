@@ -1,4 +1,10 @@
-"""Staging area: ``topic/dt=YYYY-MM-DD/hr=HH`` Parquet."""
+"""Staging area: ``topic/dt=YYYY-MM-DD/hr=HH/landed_by=WRITER`` Parquet.
+
+The innermost folder names who wrote it: one batch of a stream, or the backfill. Each
+writer replaces its own folders only, so streams and backfills share a topic, and a
+batch that is tried again leaves its rows once. An event that both bring is there
+twice, as after any redelivery; the fact jobs drop copies.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .schemas import staging_schema
 
+WRITER = "landed_by"
+BACKFILL = "backfill"
+
 
 def with_partitions(events: DataFrame, timestamp_column: str = "timestamp") -> DataFrame:
     """Partition columns from event time, so that a day of staging is a day of events."""
@@ -22,15 +31,20 @@ def read_days(
         spark.read.schema(staging_schema(topic))
         .parquet(f"{root}/{topic}")
         .where(day.between(F.lit(first).cast("date"), F.lit(last or first).cast("date")))
+        .drop(WRITER)
     )
 
 
-def write_days(events: DataFrame, root: str, topic: str) -> None:
-    """Batch landing (backfill): replaces exactly the (dt, hr) partitions it holds."""
+def write_days(events: DataFrame, root: str, topic: str, writer: str = BACKFILL) -> None:
+    """Batch landing: replaces what ``writer`` wrote to the hours that ``events`` has.
+
+    By default that is the backfill; rows that streams landed stay.
+    """
     (
-        events.hint("rebalance", "dt", "hr")
+        events.withColumn(WRITER, F.lit(writer))
+        .hint("rebalance", "dt", "hr")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "hr")
+        .partitionBy("dt", "hr", WRITER)
         .parquet(f"{root}/{topic}")
     )

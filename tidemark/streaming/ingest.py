@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.staging import with_partitions
+from ..sources.staging import WRITER, with_partitions, write_days
 from ..sources.topics import dead_letters, decode, flatten
 
 
@@ -15,35 +15,38 @@ def land_topic(
     root: str,
     checkpoint: str,
     every: str | None = "60 seconds",
-) -> list[StreamingQuery]:
-    """Start two queries: events to ``root/topic/dt=/hr=``, bad records aside.
+) -> StreamingQuery:
+    """Start a query: events to ``root/topic/dt=/hr=``, bad records aside.
 
-    The file sink commits each batch to its log exactly once, so a restart from
-    the checkpoint neither loses nor repeats rows. ``every=None`` handles what is
-    available and stops.
+    The source is read once per batch. A batch owns the folders that are named by the
+    query's id (kept in the checkpoint) and its number, and replaces them if it is
+    tried again, so a restart neither loses nor repeats rows. ``every=None`` handles
+    what is available and stops.
     """
+
+    def land(batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        writer = f"{query}-{number}"
+        decoded = decode(batch.persist())
+        events = with_partitions(flatten(decoded, topic))
+        write_days(events.withColumn("_ingested_at", F.current_timestamp()), root, topic, writer)
+        (
+            dead_letters(decoded)
+            .withColumn(WRITER, F.lit(writer))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(WRITER)
+            .text(f"{root}/_dead_letters/{topic}")
+        )
+        batch.unpersist()
+
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    decoded = decode(records)
-    events = with_partitions(flatten(decoded, topic)).withColumn(
-        "_ingested_at", F.current_timestamp()
-    )
-    good = (
-        events.writeStream.format("parquet")
-        .partitionBy("dt", "hr")
-        .option("path", f"{root}/{topic}")
+    return (
+        records.writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{checkpoint}/{topic}")
         .trigger(**trigger)
         .start()
     )
-    bad = (
-        dead_letters(decoded)
-        .writeStream.format("text")
-        .option("path", f"{root}/_dead_letters/{topic}")
-        .option("checkpointLocation", f"{checkpoint}/{topic}_dead_letters")
-        .trigger(**trigger)
-        .start()
-    )
-    return [good, bad]
 
 
 def drop_redeliveries(

@@ -987,6 +987,19 @@ ORACLE: dict[str, str] = {
             "and p.user_id not in (select user_id from quar where is_active)",
         ),
     ),
+    "quarantine_after_release": sql("@", "safety", "quar").replace(
+        " @",
+        f""", cleared as (select user_id, max(quarantined_at + interval 3 day) as cleared from quar
+            where review_outcome is not null
+            and quarantined_at + interval 3 day <= timestamp '{AS_OF}' group by user_id),
+        {recent(AS_OF).replace('from safety where', """from safety left join cleared using (user_id)
+            where (cleared is null or event_timestamp > cleared) and""")} """
+        + quarantine(
+            AS_OF,
+            f"""{stamp(f"timestamp '{AS_OF}'")} as quarantined_at, true as is_active""",
+            "",
+        ),
+    ),
     "quarantine_all": sql("@", "safety").replace(
         " @",
         f", {recent('2024-02-10 00:00:00')} "

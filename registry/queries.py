@@ -705,6 +705,22 @@ def quarantine_candidates(spark, sf_dir):
     )
 
 
+@query
+def quarantine_after_release(spark, sf_dir):
+    """Reviews come three days after a hold: only later signals of a released user count."""
+    held = inputs.quarantined_accounts(spark, sf_dir)
+    reviewed = F.col("quarantined_at") + F.expr("interval '3' days")
+    held = held.withColumn("reviewed_at", F.when(F.col("review_outcome").isNotNull(), reviewed))
+    held = held.withColumn("is_active", F.lit(False))
+    return quarantine.quarantine_candidates(
+        inputs.safety_events(spark, sf_dir), AS_OF,
+        active=held.where(F.col("reviewed_at") <= F.lit(AS_OF).cast("timestamp_ntz")),
+    ).select(
+        "user_id", "violation_type", "severity", "violation_count",
+        F.round("confidence_score", 6).alias("confidence_score"), "quarantined_at", "is_active",
+    )
+
+
 @query
 def quarantine_all(spark, sf_dir):
     return quarantine.quarantine_candidates(inputs.safety_events(spark, sf_dir), "2024-02-10 00:00:00").select(

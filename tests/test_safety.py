@@ -129,6 +129,23 @@ def test_lookback_and_active_accounts(spark):
     assert set(chosen(df, active=held)) == {"freed"}
 
 
+def test_signals_before_a_review_do_not_count_again(spark):
+    df = signals(
+        spark,
+        ("freed", 0, "b", "critical", 0.9),
+        ("again", 0, "b", "critical", 0.9),
+        ("again", 7200, "b", "critical", 0.9),
+        ("unknown", 0, "b", "critical", 0.9),
+        (None, 0, "b", "critical", 0.9),
+    )
+    rows = [("freed", False, at(3600)), ("again", False, at(3600)), ("again", False, at(60)),
+            ("unknown", False, None), (None, False, at(3600))]
+    held = spark.createDataFrame(rows, "user_id string, is_active boolean, reviewed_at timestamp_ntz")
+    found = chosen(df, active=held)
+    assert set(found) == {"again", "unknown", None}
+    assert found["again"].violation_count == 1
+
+
 def test_primary_type_is_the_most_frequent(spark):
     df = signals(
         spark,

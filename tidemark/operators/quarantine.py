@@ -28,7 +28,9 @@ def quarantine_candidates(
     """Users with five severe signals, or one critical signal of confidence >= 0.7.
 
     Looks back ``lookback_days`` from ``as_of``; accounts already quarantined in
-    ``active`` are left out. The primary violation type is the most frequent one,
+    ``active`` are left out. Where ``active`` has ``reviewed_at``, a user's signals up
+    to the last review that ended a hold have been judged and don't count again;
+    without that time they do. The primary violation type is the most frequent one,
     the alphabetically first on a tie.
     """
     now = F.to_timestamp_ntz(F.lit(as_of))
@@ -36,6 +38,11 @@ def quarantine_candidates(
     recent = safety_events.where(
         (ts < now) & (ts >= now - F.make_dt_interval(days=F.lit(lookback_days)))
     )
+    if active is not None and "reviewed_at" in active.columns:
+        ended = active.where(~F.col("is_active") & F.col("user_id").isNotNull())
+        cleared = ended.groupBy("user_id").agg(F.max("reviewed_at").alias("_cleared"))
+        recent = recent.join(cleared, "user_id", "left")
+        recent = recent.where(F.col("_cleared").isNull() | (ts > F.col("_cleared"))).drop("_cleared")
     rank = severity_rank(F.coalesce(F.col("severity"), F.lit("")))
     sure = (F.col("severity") == "critical") & (F.col("confidence_score") >= CRITICAL_CONFIDENCE)
     per_type = recent.groupBy("user_id", "violation_type").agg(

@@ -6,7 +6,8 @@ the last return the columns of `documents`:
 * language: documents without a letter, and those whose most expected language has
   under half of the words, go;
 * toxicity: documents scored 0.5 or more go;
-* near-duplicates: one document of each group stays (five-word shingles, 0.8);
+* near-duplicates: one row of each group stays (five-word shingles, 0.8), also where rows
+  repeat an id;
 * mixing: sources give words by weight; a document comes as often as it is begun, in
   the order of training, and those that the mix has no room for go;
 * tokens: token ids per document of the mix (doc_id, n_tokens, ids).
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe_trie, codeswitch, curriculum, oddsketch, toxicity
-from tidemark.llm.common import fresh, store
+from tidemark.llm.common import WORD, fresh, numbered, store
 from tidemark.llm.queries import fold, table, vocabulary
 
 #: Models and a tokenizer take part, which SQL can't express.
@@ -42,8 +43,21 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = oddsketch.near_duplicates(docs)
-    return docs.join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group, that of the least id; rows are told apart by number, not by id."""
+    key = fresh([*docs.columns, "n_shingles", "component_id", "kept", "_id", "_blank"], "_row")
+    rows = numbered(docs, key)
+    # texts without words are in no group: they are repeated where the id is the same too
+    blank = F.when(F.col("text").rlike(WORD), None).otherwise(F.col("text"))
+    named = rows.select(key, F.col("doc_id").alias("_id"), blank.alias("_blank"))
+    found = oddsketch.near_duplicates(rows, key).select(key, "n_shingles", "component_id").join(named, key)
+    alone = (F.col("n_shingles") == 0) & F.col("_id").isNotNull()
+    group = [
+        F.when(~alone, F.col("component_id")).alias("_group"),
+        F.when(alone, F.col("_id")).alias("_same_id"),
+        F.when(alone, F.col("_blank")).alias("_same_text"),
+    ]
+    first = found.groupBy(*group).agg(F.min(F.struct(F.col("_id").isNull(), "_id", key)).alias("_first"))
+    return rows.join(first.select(F.col(f"_first.{key}").alias(key)), key, "left_semi").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """The pipeline's decisions, and that extra columns are carried through."""
 
+from collections import Counter
+
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from tidemark.llm import curriculum
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,3 +26,32 @@ def test_stages(spark):
     mixed = corpus_pipeline.STAGES[3][1](spark, docs, SF)
     assert mixed.columns == docs.columns and mixed.count() > 0
     assert corpus_pipeline.STAGES[4][1](spark, docs, SF).count() == seen
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def text(n):
+    return " ".join(f"w{n}x{i}" for i in range(40))
+
+
+def test_repeated_rows_leave_one(spark):
+    rows = [(1, text(1), "en", "s", 1)] * 20 + [(2, text(1) + " end", "en", "s", 1), (3, text(3), "en", "s", 1)]
+    rows += [(3, text(4), "en", "s", 1)] * 2  # an id of two documents
+    rows += [(5, " ", "en", "s", 1)] * 2 + [(6, " ", "en", "s", 1), (6, None, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    want = [(1, text(1)), (3, text(3)), (3, text(4)), (5, " "), (6, " "), (6, None)]
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(want)
+
+
+def test_repeated_rows_come_as_often_as_planned(spark):
+    rows = [(1, text(1), "en", "s", 1)] * 12 + [(n, text(n), "en", f"s{n % 3}", 1) for n in range(2, 20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = curriculum.mix(docs).collect()
+    mixed = corpus_pipeline.mixing(spark, docs, SF).collect()
+    want = Counter()
+    for r in plan:
+        want[r.doc_id] += r.passes
+    assert Counter(r.doc_id for r in mixed) == +want and max(want.values()) > 1
+    assert Counter(r.doc_id for r in mixed)[1] <= 24

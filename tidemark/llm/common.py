@@ -32,6 +32,11 @@ def fresh(taken: list[str], name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, stored, with a number per row as ``name``: equal rows are told apart by it."""
+    return store(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def uniform(seed: str, *keys: Column) -> Column:
     """A hash draw in (0, 1): the same for equal keys and seed in every run."""
     top = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11).cast("double")

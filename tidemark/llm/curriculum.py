@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, fresh, store
+from .common import WORD, fresh, numbered, store
 
 #: Weights by the rank of a source's name, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -106,6 +106,7 @@ def due_time(words: Column, target: Column, start: Column, end: Column) -> Colum
 def mix(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
     weights=WEIGHTS, ramps=RAMPS, total: float = TOTAL, most: float = MOST, cells: int = CELLS, sort: bool = True,
+    key: str | None = None,
 ) -> DataFrame:
     """What the mix takes of each document and when, range-sorted by that time.
 
@@ -114,16 +115,19 @@ def mix(
     position (the time, 0 to 1, at which it is first due; null if nothing is taken).
     A source takes its documents in an order given by a hash until its target, cut to
     whole words, is used up: the last one may be taken in part. Documents without
-    words take no part but are returned. Repeated rows are documents of their own.
+    words take no part but are returned. Repeated rows are documents of their own;
+    ``key`` names a column that tells them apart, which is returned too.
     """
     rows = docs.select(
+        *([F.col(key).alias("_key")] if key else []),
         F.col(id).alias("_id"),
         F.col(source).alias("_name"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
     )
     rows = store(rows, "mix-sizes")
     by = source_targets(rows, "_name", "size", weights, total, most)
-    placed = running_sums(rows, "_name", "size", F.col("_id"), ["_id", "size"], "_before", cells)
+    order = ["_id", "size"] + (["_key"] if key else [])
+    placed = running_sums(rows, "_name", "size", F.col("_id"), order, "_before", cells)
     # one row per source
     placed = placed.join(by, F.col("_name").eqNullSafe(F.col("source")), "left").drop("source")
     whole = F.floor(F.col("target")).cast("bigint")
@@ -144,7 +148,7 @@ def mix(
     out = placed.select(
         F.col("_id").alias(id), F.col("_name").alias("source"), "size", "source_size", "target",
         (used[0] + used[1]).alias("taken"), begun.cast("int").alias("passes"),
-        due[0].alias("position"), due[1].alias("again"),
+        due[0].alias("position"), due[1].alias("again"), *([F.col("_key").alias(key)] if key else []),
     )
     return out.orderBy(F.col("position").asc_nulls_last(), id) if sort else out
 
@@ -153,12 +157,14 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame
     """The documents that `mix` takes, each as often as it is begun, in its order.
 
     Columns are those of ``docs``. A document that is begun twice comes at both times.
-    Ids should be distinct: rows that repeat an id come as often as all of them are
-    begun. Documents without words or id are left out.
+    Rows are numbered first, so that each comes as often as its own plan says, also
+    where an id is repeated. Documents without words are left out.
     """
-    plan = mix(docs, id, **options, sort=False).where("passes > 0")
-    at, key = (fresh(docs.columns, c) for c in ("_position", "_doc"))
+    key = fresh([*docs.columns, "source", "size", "source_size", "target", "taken", "passes", "position", "again"], "_row")
+    at, of = (fresh([*docs.columns, key], c) for c in ("_position", "_of"))
+    docs = numbered(docs, key)
+    plan = mix(docs, id, **options, sort=False, key=key).where("passes > 0")
     times = F.array(F.col("position"), F.col("again"))
-    plan = plan.select(F.col(id).alias(key), F.explode(F.slice(times, F.lit(1), F.col("passes"))).alias(at))
-    met = docs.join(plan, docs[id] == plan[key])
-    return met.orderBy(at, id).select(*docs.columns)
+    plan = plan.select(F.col(key).alias(of), F.explode(F.slice(times, F.lit(1), F.col("passes"))).alias(at))
+    met = docs.join(plan, docs[key] == plan[of])
+    return met.orderBy(at, id, key).drop(at, of, key)

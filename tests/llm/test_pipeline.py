@@ -55,3 +55,18 @@ def test_repeated_rows_come_as_often_as_planned(spark):
         want[r.doc_id] += r.passes
     assert Counter(r.doc_id for r in mixed) == +want and max(want.values()) > 1
     assert Counter(r.doc_id for r in mixed)[1] <= 24
+
+
+def test_rows_without_an_id_are_mixed(spark):
+    rows = [(None, text(n), "en", f"s{n % 3}", 1) for n in range(40)] + [(n, text(n), "en", f"s{n % 3}", 1) for n in range(40, 80)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert corpus_pipeline.near_duplicates(spark, docs.unionAll(docs), SF).count() == len(rows)
+    plan = Counter()
+    for r in curriculum.mix(docs).collect():
+        plan[r.source, r.doc_id is None] += r.passes
+    mixed = corpus_pipeline.mixing(spark, docs, SF)
+    assert Counter((r.source, r.doc_id is None) for r in mixed.collect()) == +plan
+    assert plan["s0", True] == 28
+    # which are taken rests on their texts
+    again = corpus_pipeline.mixing(spark, docs.repartition(5, "text"), SF)
+    assert Counter(r.text for r in again.collect()) == Counter(r.text for r in mixed.collect())

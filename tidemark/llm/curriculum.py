@@ -66,13 +66,13 @@ def source_targets(
     return by.select(F.col("_source").alias("source"), "source_size", "weight", "rank", target.alias("target"))
 
 
-def running_sums(rows: DataFrame, group: str, size: str, key: Column, order: list, out: str, cells: int = CELLS) -> DataFrame:
+def running_sums(rows: DataFrame, group: str, size: str, key: list, order: list, out: str, cells: int = CELLS) -> DataFrame:
     """``rows`` with ``out``, the sum of ``size`` over the rows before within ``group``.
 
     The order is by a cell number that is a hash of ``key``, then ``order``. Null
     groups are a group.
     """
-    rows = rows.withColumn("_cell", F.pmod(F.xxhash64(F.lit("mix"), key), F.lit(cells)).cast("int"))
+    rows = rows.withColumn("_cell", F.pmod(F.xxhash64(F.lit("mix"), *key), F.lit(cells)).cast("int"))
     cell_sums = rows.groupBy(group, "_cell").agg(F.sum(size).alias("_words"))
     until = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = cell_sums.select(
@@ -114,7 +114,8 @@ def mix(
     (of its source), taken (words, repeats counted), passes (times it is begun),
     position (the time, 0 to 1, at which it is first due; null if nothing is taken).
     A source takes its documents in an order given by a hash until its target, cut to
-    whole words, is used up: the last one may be taken in part. Documents without
+    whole words, is used up: the last one may be taken in part. Documents without an
+    id are placed by a hash of their text. Documents without
     words take no part but are returned. Repeated rows are documents of their own;
     ``key`` names a column that tells them apart, which is returned too.
     """
@@ -123,11 +124,13 @@ def mix(
         F.col(id).alias("_id"),
         F.col(source).alias("_name"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
+        F.when(F.col(id).isNull(), F.xxhash64(F.col(text))).alias("_print"),
     )
     rows = store(rows, "mix-sizes")
     by = source_targets(rows, "_name", "size", weights, total, most)
-    order = ["_id", "size"] + (["_key"] if key else [])
-    placed = running_sums(rows, "_name", "size", F.col("_id"), order, "_before", cells)
+    order = ["_id", "size", "_print"] + (["_key"] if key else [])
+    # a null leaves a hash as it is, so that rows with an id are placed by that alone
+    placed = running_sums(rows, "_name", "size", [F.col("_id"), F.col("_print")], order, "_before", cells)
     # one row per source
     placed = placed.join(by, F.col("_name").eqNullSafe(F.col("source")), "left").drop("source")
     whole = F.floor(F.col("target")).cast("bigint")
@@ -158,7 +161,7 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame
 
     Columns are those of ``docs``. A document that is begun twice comes at both times.
     Rows are numbered first, so that each comes as often as its own plan says, also
-    where an id is repeated. Documents without words are left out.
+    where an id is repeated or null. Documents without words are left out.
     """
     key = fresh([*docs.columns, "source", "size", "source_size", "target", "taken", "passes", "position", "again"], "_row")
     at, of = (fresh([*docs.columns, key], c) for c in ("_position", "_of"))

@@ -1,6 +1,7 @@
 """The given tables, read as the event topics and dimensions of the library.
 
-Each mapping covers its whole table; ``oracle.py`` states the same mappings in SQL.
+Each mapping covers its whole table, but for ``dim_users``; ``oracle.py`` states the same
+mappings in SQL.
 """
 
 from __future__ import annotations

@@ -7,22 +7,26 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_trie, codeswitch, curriculum, fingerprints, oddsketch, shards, subword, toxicity, vptree, warc
+from . import bpe_trie, codeswitch, curriculum, fingerprints, oddsketch, packing, prefix_trie, shards, skyband, subword, toxicity, vptree, warc
+from .oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary(name: str = "byte_bpe_50k.json") -> bpe_trie.Vocabulary:
-    """A vocabulary of the installed package of public tokenizer files."""
+def tokenizer_file(name: str) -> str:
+    """The path of a file of the installed package of public tokenizers."""
     import public_tokenizers
 
-    return bpe_trie.read_vocabulary(public_tokenizers.path(name))
+    return public_tokenizers.path(name)
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> bpe_trie.Vocabulary:
+    return bpe_trie.read_vocabulary(tokenizer_file(name))
 
 
 def query(fn: Query) -> Query:
@@ -113,3 +117,20 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skyband.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    rows = pieces.withColumn("ids_crc32", F.crc32("ids").cast("bigint")).drop("ids")
+    return packing.pack(rows)

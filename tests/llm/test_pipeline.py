@@ -4,7 +4,8 @@ from collections import Counter
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from tidemark.llm import curriculum
+from conftest import plan_of
+from tidemark.llm import common, curriculum
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +71,20 @@ def test_rows_without_an_id_are_mixed(spark):
     # which are taken rests on their texts
     again = corpus_pipeline.mixing(spark, docs.repartition(5, "text"), SF)
     assert Counter(r.text for r in again.collect()) == Counter(r.text for r in mixed.collect())
+
+
+def test_rows_of_files_are_mixed_without_a_copy(spark, tmp_path):
+    rows = [(1, text(1), "en", "s", 1)] * 12 + [(None, text(n), "en", f"s{n % 3}", 1) for n in range(2, 40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    assert common.keyed(stored, "k").select("k").distinct().count() == len(rows)
+    assert "numbered" not in plan_of(common.keyed(stored, "k"))
+    plan = Counter()
+    for r in curriculum.mix(stored).collect():
+        plan[r.source] += r.passes
+    mixed = corpus_pipeline.mixing(spark, stored, SF)
+    assert mixed.columns == docs.columns and Counter(r.source for r in mixed.collect()) == +plan
+    # a plan that repeats rows of files has no key in them
+    twice = stored.unionAll(stored)
+    assert common.keyed(twice, "k").select("k").distinct().count() == 2 * len(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch_dir
@@ -41,6 +42,21 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return store(df.withColumn(name, F.monotonically_increasing_id()), "numbered", compression="zstd")
 
 
+def keyed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a key per row as ``name``: equal rows are told apart by it.
+
+    A table as it was read from files has such a key already, the file (its path's hash) and the
+    row's number there, so that nothing is copied. Rows of any other plan are numbered.
+    """
+    if df._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            file = df.metadataColumn("_metadata")
+            return df.withColumn(name, F.struct(F.xxhash64(file["file_path"]).alias("file"), file["row_index"].alias("row")))
+        except AnalysisException:  # no files: a local table
+            pass
+    return numbered(df, name)
+
+
 def uniform(seed: str, *keys: Column) -> Column:
     """A hash draw in (0, 1): the same for equal keys and seed in every run."""
     top = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11).cast("double")

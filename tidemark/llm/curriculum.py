@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, fresh, numbered, store
+from .common import WORD, fresh, keyed, store
 
 #: Weights by the rank of a source's name, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -160,12 +160,12 @@ def mixed_documents(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame
     """The documents that `mix` takes, each as often as it is begun, in its order.
 
     Columns are those of ``docs``. A document that is begun twice comes at both times.
-    Rows are numbered first, so that each comes as often as its own plan says, also
+    Rows are told apart by a key (see `common.keyed`), so that each comes as often as its own plan says, also
     where an id is repeated or null. Documents without words are left out.
     """
     key = fresh([*docs.columns, "source", "size", "source_size", "target", "taken", "passes", "position", "again"], "_row")
     at, of = (fresh([*docs.columns, key], c) for c in ("_position", "_of"))
-    docs = numbered(docs, key)
+    docs = keyed(docs, key)
     plan = mix(docs, id, **options, sort=False, key=key).where("passes > 0")
     times = F.array(F.col("position"), F.col("again"))
     plan = plan.select(F.col(key).alias(of), F.explode(F.slice(times, F.lit(1), F.col("passes"))).alias(at))

@@ -1,4 +1,4 @@
-"""The daily batch: gate, dimensions, facts, gate, canonical metrics."""
+"""The daily batch: gate, dimensions, late arrivals, facts, gate, canonical metrics."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from ..session import cut_lineage
 from ..sources.staging import read_days
 from ..sources.warehouse import Warehouse
 from . import dims, facts, metrics
+from .arrivals import REDELIVERY_DAYS, TABLES, arrived, load_arrivals, note_load, now_micros
 
 TS = "event_timestamp"
 GATED_TOPICS = ["user_events", "conversation_events", "api_usage_events", "billing_events"]
@@ -35,9 +36,15 @@ def check_staging(
 def load_dimensions(spark: SparkSession, staging: str, warehouse: Warehouse, day: str) -> None:
     """Snapshot of the day; without user changes the last snapshot stays the newest.
 
-    Changes too late for the merge are kept in RAW.LATE_USER_CHANGES.
+    Changes of earlier days that arrived since the last load are merged with the day's.
+    Those too late for the merge are kept in RAW.LATE_USER_CHANGES.
     """
-    changes = cut_lineage(dims.user_changes(_staged(spark, staging, "user_events", day)))
+    began = now_micros(spark)
+    events = _staged(spark, staging, "user_events", day)
+    late, missing = arrived(spark, staging, warehouse, "user_events", before=day)
+    if late is not None:
+        events = events.unionByName(late.drop("dt", "hr", "_ingested_at"))
+    changes = cut_lineage(dims.user_changes(events))
     if changes.isEmpty():
         # A rerun takes back what an earlier run of the day made of its changes.
         warehouse.drop_partition("LATE_USER_CHANGES", "RAW", "dt", day)
@@ -61,18 +68,16 @@ def load_dimensions(spark: SparkSession, staging: str, warehouse: Warehouse, day
         F.last_day(F.add_months(F.trunc(year, "year"), 11)).alias("last_day"),
     )
     warehouse.write(dims.calendar(span), "DIM_TIME", mode="replace", partition_by=["year"])
-
-
-def _yesterday(day: str) -> str:
-    return (datetime.date.fromisoformat(day) - datetime.timedelta(days=1)).isoformat()
+    note_load(warehouse, "user_events", [*missing, day], began)
 
 
 def _loaded_ids(warehouse: Warehouse, table: str, day: str) -> DataFrame | None:
-    """Ids stored the day before: copies of them may have arrived after midnight."""
+    """Ids stored on the days before: copies of them may carry a later event day."""
     if not warehouse.exists(table):
         return None
-    yesterday = F.col("dt") == F.lit(_yesterday(day)).cast("date")
-    return warehouse.read(table).where(yesterday).select("event_id")
+    today = F.lit(day).cast("date")
+    near = (F.col("dt") < today) & (F.col("dt") >= F.date_sub(today, REDELIVERY_DAYS))
+    return warehouse.read(table).where(near).select("event_id")
 
 
 def _store(
@@ -134,39 +139,38 @@ def load_safety_events(
     return _store(warehouse, unique, "SAFETY_EVENTS", day, schema="RAW")
 
 
-def build_canonical(warehouse: Warehouse, day: str) -> None:
-    """Metrics of the day, its week so far and its month so far."""
+def build_canonical(warehouse: Warehouse, day: str, changed: list[str] = ()) -> None:
+    """Metrics of the day, its week so far and its month so far.
+
+    The same for the earlier days ``changed``, their weeks and their months.
+    """
     conversations = warehouse.read("FACT_CONVERSATIONS")
     api_usage = warehouse.read("FACT_API_USAGE")
     billing = warehouse.read("FACT_BILLING")
     users = warehouse.read_snapshot("DIM_USERS", day)
+    days = sorted({datetime.date.fromisoformat(d) for d in (*changed, day) if d <= day})
+    today = days[-1]
+
     # Partition values bound the period for the scan; the metrics filter by event time.
-    month = F.col("dt") >= F.trunc(F.lit(day).cast("date"), "month")
-    week = F.col("dt") >= metrics.week_start(F.lit(day).cast("date"))
-    today = F.col("dt") == F.lit(day).cast("date")
-    until = F.col("dt") <= F.lit(day).cast("date")
-    for table, period, metric in (
-        (
-            "DAILY_ACTIVE_USERS",
-            "event_date",
-            metrics.daily_active_users(
-                conversations.where(today), api_usage.where(today), users, day
-            ),
-        ),
-        (
-            "WEEKLY_ENGAGEMENT",
-            "week_start",
-            metrics.weekly_engagement(conversations.where(week & until), users, day),
-        ),
-        (
-            "MONTHLY_REVENUE",
-            "month_start",
-            metrics.monthly_revenue(billing.where(month & until), day),
-        ),
-    ):
+    def within(first: datetime.date, last: datetime.date):
+        return F.col("dt").between(F.lit(first), F.lit(last))
+
+    def store(metric: DataFrame, table: str, period: str) -> None:
         computed = metric.withColumn("_computed_at", F.current_timestamp())
         warehouse.write(computed, table, "CANONICAL", "replace", [period])
 
+    for d in days:
+        facts_of_day = (f.where(within(d, d)) for f in (conversations, api_usage))
+        store(metrics.daily_active_users(*facts_of_day, users, str(d)), "DAILY_ACTIVE_USERS", "event_date")
+    for first in sorted({d - datetime.timedelta(days=d.weekday()) for d in days}):
+        last = min(today, first + datetime.timedelta(days=6))
+        week = metrics.weekly_engagement(conversations.where(within(first, last)), users, str(last))
+        store(week, "WEEKLY_ENGAGEMENT", "week_start")
+    for first in sorted({d.replace(day=1) for d in days}):
+        end = (first + datetime.timedelta(days=31)).replace(day=1) - datetime.timedelta(days=1)
+        last = min(today, end)
+        store(metrics.monthly_revenue(billing.where(within(first, last)), str(last)), "MONTHLY_REVENUE", "month_start")
+
 
 def check_warehouse(warehouse: Warehouse, day: str, tolerate: tuple[str, ...] = ()) -> None:
     loaded = warehouse.read("FACT_CONVERSATIONS").where(F.col("dt") == F.lit(day).cast("date"))
@@ -183,15 +187,21 @@ def run_day(
 ) -> dict[str, int]:
     """Everything for one day; running it again replaces the day's results.
 
-    Returns the rows stored per table.
+    Events of earlier days that arrived since the last run are taken in as well, and the
+    metrics of their periods are computed again. Returns the rows stored per table.
 
     ``tolerate`` names checks that may fail, such as ``unique:event_id`` where
     ingest delivers at least once and the fact jobs remove the copies.
     """
     check_staging(spark, staging, day, tolerate)
     load_dimensions(spark, staging, warehouse, day)
+    began = now_micros(spark)  # what arrives from here on is for the next run
+    late, changed = load_arrivals(spark, staging, warehouse, before=day)
     rows = load_facts(spark, staging, warehouse, day)
     rows["SAFETY_EVENTS"] = load_safety_events(spark, staging, warehouse, day)
+    for topic in TABLES:
+        note_load(warehouse, topic, [day], began)
+    rows["LATE_EVENTS"] = sum(late.values())
     check_warehouse(warehouse, day, tolerate)
-    build_canonical(warehouse, day)
+    build_canonical(warehouse, day, changed)
     return rows

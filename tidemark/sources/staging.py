@@ -8,6 +8,8 @@ twice, as after any redelivery; the fact jobs drop copies.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .schemas import staging_schema
@@ -35,6 +37,23 @@ def read_days(
     )
 
 
+def read_arrived(spark: SparkSession, root: str, topic: str, since_micros: int) -> DataFrame:
+    """Events of any day that were landed after a time (microseconds since 1970).
+
+    Files that were last written before it are left out when folders are listed; rows of
+    later files are judged by their ingestion time.
+    """
+    since = datetime.datetime.fromtimestamp(since_micros // 1_000_000, datetime.timezone.utc)
+    return (
+        spark.read.schema(staging_schema(topic))
+        .option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
+        .option("timeZone", "UTC")
+        .parquet(f"{root}/{topic}")
+        .where(F.unix_micros("_ingested_at") >= since_micros)
+        .drop(WRITER)
+    )
+
+
 def write_days(events: DataFrame, root: str, topic: str, writer: str = BACKFILL) -> None:
     """Batch landing: replaces what ``writer`` wrote to the hours that ``events`` has.
 

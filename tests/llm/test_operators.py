@@ -6,6 +6,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,14 +180,34 @@ def test_bpe_equals_the_tokenizers_library(docs, empty):
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     words = vocabulary()
     coded = docs.select("doc_id", "text", bpe_trie.encode(docs, words).alias("ids"))
-    got = coded.select("*", bpe_trie.decode(coded, words).alias("back"), bpe_trie.digest().alias("sha")).collect()
+    got = coded.select("*", bpe_trie.decode(coded, words).alias("back")).collect()
+    digests = {(r.text, *r.told) for r in docs.select("text", bpe_trie.round_trip(docs, words).alias("told")).collect()}
     for r in got:
         ids = own.encode(r.text or "", add_special_tokens=False).ids
         assert r.ids == ids and r.back == (r.text or "")
-        assert r.sha == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        sha = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert (r.text, len(ids), sha, hashlib.sha256(r.back.encode()).hexdigest()) in digests
+    assert empty.select(bpe_trie.round_trip(empty, words).alias("told")).count() == 0
     assert empty.select(bpe_trie.encode(empty, words).alias("ids")).count() == 0
 
 
+def test_runs_keep_texts_whole():
+    part = pa.array(["aaaa", None, "", "b" * 50, "cc", "dd", "é" * 9])
+    for piece in (1, 3, 10, 1000):
+        got = list(bpe_trie.runs(part, piece))
+        assert [t for run in got for t in run] == [t or "" for t in part.to_pylist()]
+        assert all(len(run) == 1 or len("".join(run).encode()) <= piece for run in got)
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    texts = [f"word{i} and {i * 7} more, again" for i in range(300)]
+    want = bpe_trie.Encoder(vocabulary()).encode(texts)
+    for bound in ("REMEMBERED", "REMEMBERED_BYTES", "REMEMBERED_PAIRS"):
+        monkeypatch.setattr(bpe_trie, bound, 20)
+    encoder = bpe_trie.Encoder(vocabulary())
+    assert [ids for i in range(0, 300, 10) for ids in encoder.encode(texts[i : i + 10])] == want
+
+
 def test_trie_on_many_words():
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from os.path import commonprefix
+from struct import pack
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,7 +36,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
-REMEMBERED = 200_000
+#: Bounds of what a worker holds beside the vocabulary: words it remembers and their bytes,
+#: token pairs it remembers, and the characters it cuts at a time (one text at least).
+REMEMBERED = 500_000
+REMEMBERED_BYTES = 32_000_000
+REMEMBERED_PAIRS = 500_000
 PIECE = 2_000_000
 
 
@@ -70,16 +76,23 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 class Trie:
-    """Encodes words of bytes; keeps what it needs for the next word only."""
+    """Encodes words of bytes; keeps what it needs for the next word only.
+
+    A node also knows its longest suffix that begins some token. The tokens that end at the
+    node are the suffixes of that one, so that only they are tried.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         taken = set(vocabulary.special.values())
         self.tokens = vocabulary.tokens
         self.id_of = {t: i for i, t in enumerate(vocabulary.tokens) if t and i not in taken}
-        self.longest = max(map(len, self.id_of))
+        self.begins = [b"", *sorted({t[:n] for t in self.id_of for n in range(1, len(t) + 1)})]
+        self.number = {t: i for i, t in enumerate(self.begins)}
+        self.ends: list[list | None] = [None] * len(self.begins)  # (length, token) of tokens at its end
+        self.next: dict[int, int] = {}  # by 256 * beginning + byte
         self.rank = {(a, b): r for r, (a, b, _) in enumerate(vocabulary.merges)}
         self.made_of = {made: (a, b, r) for r, (a, b, made) in enumerate(vocabulary.merges)}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether BPE keeps ``right`` after ``left`` apart.
@@ -88,13 +101,28 @@ class Trie:
         each other is taken apart, so that at each moment the pair at the border is
         known. It must not be mergeable earlier than what broke it up was made.
         """
-        known = self.beside.get((left, right))
+        key = left << 32 | right
+        known = self.beside.get(key)
         if known is None:
-            known = self.beside[left, right] = self._stay_apart(left, right)
-            if len(self.beside) > 4 * REMEMBERED:
+            known = self.beside[key] = self._stay_apart(left, right)
+            if len(self.beside) > REMEMBERED_PAIRS:
                 self.beside.clear()
         return known
 
+    def _longest_begin(self, begin: int, byte: int) -> int:
+        """The longest suffix of a beginning and one more byte that begins a token."""
+        text = self.begins[begin] + bytes((byte,))
+        while text not in self.number:
+            text = text[1:]
+        found = self.next[begin << 8 | byte] = self.number[text]
+        return found
+
+    def _tokens_at(self, begin: int) -> list[tuple[int, int]]:
+        text, id_of = self.begins[begin], self.id_of
+        found = [(n, id_of[text[len(text) - n :]]) for n in range(len(text), 0, -1) if text[len(text) - n :] in id_of]
+        self.ends[begin] = found
+        return found
+
     def _stay_apart(self, a: int, b: int) -> bool:
         until = (len(self.rank), 0)  # when the pair that is now at the border ceased to be
         while True:
@@ -115,19 +143,27 @@ class Trie:
 
     def encode(self, words: list[bytes]) -> Iterator[list[int]]:
         """Token ids of each of the sorted, distinct, non-empty ``words``."""
-        before, last = b"", [-1]  # last token of the encoding of word[:n], by n
-        id_of, tokens, longest, may_follow = self.id_of, self.tokens, self.longest, self.may_follow
+        before, last, begins = b"", [-1], [0]  # last token and longest beginning of word[:n], by n
+        tokens, next_, ends, beside, may_follow = self.tokens, self.next, self.ends, self.beside, self.may_follow
         for word in words:
             shared = len(commonprefix((before, word)))
-            del last[shared + 1 :]
+            del last[shared + 1 :], begins[shared + 1 :]
+            state = begins[shared]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    token = id_of.get(word[begin:end])
-                    if token is not None and (not begin or may_follow(last[begin], token)):
-                        last.append(token)
+                byte = word[end - 1]
+                state = next_.get(state << 8 | byte, -1)
+                if state < 0:
+                    state = self._longest_begin(begins[-1], byte)
+                begins.append(state)
+                for size, token in ends[state] or self._tokens_at(state):
+                    if size == end:
+                        break
+                    known = beside.get(last[end - size] << 32 | token)
+                    if may_follow(last[end - size], token) if known is None else known:
                         break
                 else:
                     raise ValueError(f"no token ends at byte {end} of {word!r}")
+                last.append(token)
             found, at = [], len(word)
             while at:
                 found.append(last[at])
@@ -143,11 +179,16 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.trie = Trie(vocabulary)
         self.cut = regex.compile(PATTERN)
-        self.known: dict[str, bytes] = {}
-        self.special = {t: np.array([i], "<u4").tobytes() for t, i in vocabulary.special.items()}
+        self.special = {t: pack("<I", i) for t, i in vocabulary.special.items()}
+        self._forget()
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
+    def _forget(self):
+        """Remembers nothing but the special tokens, whose ids stand for themselves."""
+        self.known: dict[str | bytes, bytes] = {ids: ids for ids in self.special.values()}
+        self.held = 0  # bytes of words and ids in known
+
     def _words(self, text: str) -> list:
         """Words, and special tokens as bytes."""
         if self.split is None or not self.split.search(text):
@@ -160,31 +201,28 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self._words(t) for t in texts]
-        new = {w for words in cut for w in words if w not in self.known and not isinstance(w, bytes)}
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = {w for words in cut for w in words if not isinstance(w, bytes)}
-        ordered = sorted((w.encode(), w) for w in new)
-        for (_, word), ids in zip(ordered, self.trie.encode([o[0] for o in ordered])):
-            self.known[word] = np.array(ids, "<u4").tobytes()
         known = self.known
-        try:
-            return [b"".join([known[w] for w in words]) for words in cut]
-        except KeyError:  # special tokens
-            return [b"".join([w if isinstance(w, bytes) else known[w] for w in words]) for words in cut]
+        words = set().union(*cut)
+        new = words - known.keys()
+        if len(known) + len(new) > REMEMBERED or self.held > REMEMBERED_BYTES:
+            self._forget()
+            known, new = self.known, words - self.known.keys()
+        ordered = sorted((w.encode(), w) for w in new)
+        for (plain, word), ids in zip(ordered, self.trie.encode([o[0] for o in ordered])):
+            known[word] = pack(f"<{len(ids)}I", *ids)
+            self.held += len(plain) + 4 * len(ids)
+        return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
-def _runs(texts: list) -> Iterator[list[str]]:
-    """Texts in order, in runs of about PIECE characters; null is empty."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t or "")
-        size += len(run[-1])
-        if size >= PIECE:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def runs(part: pa.Array, piece: int = PIECE) -> Iterator[list[str]]:
+    """Texts of a string column in order, in runs of about ``piece`` bytes; null is empty."""
+    size = pc.fill_null(pc.binary_length(part), 0).to_numpy(zero_copy_only=False).cumsum()
+    begin = 0
+    while begin < len(part):
+        before = size[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(size, before + piece, "right")))
+        yield [t or "" for t in part.slice(begin, end - begin).to_pylist()]
+        begin = end
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Column:
@@ -195,13 +233,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Colum
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(held.value)
         for part in parts:
-            runs = []
-            for run in _runs(part.to_pylist()):
+            lists = []
+            for run in runs(part):
                 ids = encoder.encode(run)
                 edge = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
                 flat = np.frombuffer(b"".join(ids), "<i4")
-                runs.append(pa.ListArray.from_arrays(pa.array(edge), pa.array(flat)))
-            yield pa.concat_arrays(runs) if runs else pa.array([], pa.list_(pa.int32()))
+                lists.append(pa.ListArray.from_arrays(pa.array(edge), pa.array(flat)))
+            yield pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
 
     return of.asNondeterministic()(F.col(text))  # so that it is evaluated once
 
@@ -214,6 +252,11 @@ def _slices(part: pa.ListArray) -> Iterator[np.ndarray]:
         yield flat[offsets[i] : offsets[i + 1]] if part[i].is_valid else flat[:0]
 
 
+def decoded(token: Callable[[int], bytes], ids: np.ndarray) -> str:
+    """The text of token ids; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join(map(token, ids.tolist())).decode("utf-8", "replace")
+
+
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Column:
     """A string column: the texts of token ids; bytes that are no UTF-8 become U+FFFD."""
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -222,19 +265,33 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Column:
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = held.value.tokens.__getitem__
         for part in parts:
-            yield pa.array(
-                [b"".join(map(token, row.tolist())).decode("utf-8", "replace") for row in _slices(part)], pa.string()
-            )
+            yield pa.array([decoded(token, row) for row in _slices(part)], pa.string())
 
     return of.asNondeterministic()(F.col(ids))
 
 
-def digest(ids: str = "ids") -> Column:
-    """A string column: SHA-256 of the ids as little-endian unsigned 32-bit integers."""
+DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-    @F.arrow_udf("string")
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Column:
+    """A struct column: number of tokens, SHA-256 of the ids of a whole text as little-endian
+    unsigned 32-bit integers, and SHA-256 of the text that the ids decode to, in UTF-8.
+
+    Encoding and decoding share one pass and one worker, so that ids leave it as digests only.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf(f"struct<{DIGESTS.replace(' ', ':').replace(',:', ',')}>")
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, token = Encoder(held.value), held.value.tokens.__getitem__
         for part in parts:
-            yield pa.array([hashlib.sha256(row.astype("<u4").tobytes()).hexdigest() for row in _slices(part)], pa.string())
-
-    return of.asNondeterministic()(F.col(ids))
+            size, ids_hash, text_hash = [], [], []
+            for run in runs(part):
+                for ids in encoder.encode(run):
+                    size.append(len(ids) // 4)
+                    ids_hash.append(hashlib.sha256(ids).hexdigest())
+                    text_hash.append(hashlib.sha256(decoded(token, np.frombuffer(ids, "<u4")).encode()).hexdigest())
+            columns = [pa.array(size, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return of.asNondeterministic()(F.col(text))

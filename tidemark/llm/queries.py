@@ -109,14 +109,9 @@ def op5_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, words = table(spark, sf_dir, "documents"), vocabulary()
-    ids = docs.select("doc_id", bpe_trie.encode(docs, words).alias("ids"))
-    both = ids.select(
-        "doc_id", "ids", bpe_trie.digest("ids").alias("ids_sha256"), bpe_trie.decode(ids, words, "ids").alias("decoded")
-    )
-    return both.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    docs = table(spark, sf_dir, "documents")
+    told = docs.select("doc_id", bpe_trie.round_trip(docs, vocabulary()).alias("told"))
+    return told.select("doc_id", "told.*")
 
 
 @query

@@ -52,11 +52,9 @@ def token_cost(model: Column, input_tokens: Column, output_tokens: Column) -> Co
 
 def token_cost_from_dim(df: DataFrame, dim_models: DataFrame) -> DataFrame:
     """Same estimate, priced by the model dimension (so newly added models cost something)."""
-    from ..operators.skew import lookup_join
-
     prices = dim_models.select("model_id", "usd_per_1m_input", "usd_per_1m_output")
     return (
-        lookup_join(df, prices, ["model_id"])
+        df.join(prices, "model_id", "left")
         .withColumn(
             "estimated_cost_usd",
             F.coalesce(

@@ -4,41 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .skew import spread_join
+from . import moments
 
 MIN_SAMPLES = 5
 
 
+def score_rows(
+    df: DataFrame, baseline: DataFrame, metric_col: str, group_col: str = "user_id",
+    threshold: float = 3.0, leave_one_out: bool = False,
+) -> DataFrame:
+    """``df`` with ``anomaly_zscore`` and ``is_anomaly`` by a baseline of moments per group.
+
+    The baseline, one row per group, is dealt anew for the join: AQE splits a hot group's rows
+    only where both sides come straight from a shuffle.
+    """
+    scored = df.join(baseline.hint("rebalance"), group_col, "left")
+    scored = scored.withColumn("anomaly_zscore", moments.zscore(metric_col, MIN_SAMPLES, leave_one_out))
+    scored = scored.withColumn("is_anomaly", F.col("anomaly_zscore") > F.lit(threshold))
+    return scored.drop(*moments.COLUMNS)
+
+
 def detect_zscore_anomalies(
     df: DataFrame,
     metric_col: str,
     group_col: str = "user_id",
     threshold: float = 3.0,
+    leave_one_out: bool = False,
 ) -> DataFrame:
     """Add ``anomaly_zscore`` and ``is_anomaly`` (score strictly above the threshold).
 
     The score is 0 for groups with under five rows or no spread. A value is part
     of its own baseline, so no score can exceed (n - 1) / sqrt(n): groups of up to
-    ten rows never pass 3.
+    ten rows never pass 3. With ``leave_one_out`` a value is judged by the others of its
+    group, of which there must be five.
     """
-    x = F.col(metric_col).cast("double")
-    baseline = df.groupBy(group_col).agg(
-        F.avg(x).alias("_mean"),
-        F.stddev_samp(x).alias("_sd"),
-        F.count("*").alias("_size"),
-    )
-    mean, sd = F.col("_mean"), F.col("_sd")
-    usable = sd.isNotNull() & (sd > 0) & (F.col("_size") >= MIN_SAMPLES)
-    scored = spread_join(df, baseline, [group_col]).withColumn(
-        "anomaly_zscore",
-        F.when(usable, F.abs((x - mean) / sd)).otherwise(F.lit(0.0)),
-    )
-    return scored.withColumn("is_anomaly", F.col("anomaly_zscore") > F.lit(threshold)).drop(
-        "_mean", "_sd", "_size"
-    )
+    baseline = moments.moments(df, metric_col, [group_col])
+    return score_rows(df, baseline, metric_col, group_col, threshold, leave_one_out)
 
 
-def _flag_high_counts(counts: DataFrame, multiplier: float) -> DataFrame:
+def flag_high_counts(counts: DataFrame, multiplier: float) -> DataFrame:
     """Flag counts above mean + multiplier x sd; both come from a one-row subquery."""
     spread = counts.agg(
         F.struct(
@@ -68,14 +72,14 @@ def detect_rate_anomalies(
     """
     if window_minutes is None:
         counts = df.groupBy("user_id").agg(F.count("*").alias("request_count"))
-        return _flag_high_counts(counts, threshold_multiplier)
+        return flag_high_counts(counts, threshold_multiplier)
     span = F.window(F.col(timestamp_column), f"{window_minutes} minutes")
     counts = (
         df.groupBy("user_id", span.alias("_span"))
         .agg(F.count("*").alias("request_count"))
         .select("user_id", F.col("_span.start").alias("window_start"), "request_count")
     )
-    return _flag_high_counts(counts, threshold_multiplier)
+    return flag_high_counts(counts, threshold_multiplier)
 
 
 def anomaly_summary(

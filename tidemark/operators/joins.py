@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.timestamps import time_bucket
-from .skew import lookup_join
 from .timeline import BUCKET_SECONDS, carry_in
 
-#: Groups that facts without key or time are dealt to.
-PLACELESS = 4096
-
 
 def join_valid_at(
     facts: DataFrame,
@@ -22,9 +18,10 @@ def join_valid_at(
 ) -> DataFrame:
     """Left as-of join: each fact gets ``columns`` of the version valid at its time.
 
-    Facts and version starts are laid on one timeline per key, cut into buckets, and
-    the last start is carried forward, so the work is linear in both; a range join
-    would pair each fact of a key with all of the key's versions.
+    Only the distinct (key, time) pairs of the facts are laid on a timeline with the version
+    starts, cut into buckets, and the last start is carried forward: linear in both, where a
+    range join would pair each fact of a key with all of the key's versions. What holds at a
+    pair is joined back, so that the facts' other columns are shuffled once.
 
     A fact without key or time gets NULLs, as does one whose key has no version then.
     Of versions that start at one instant the one that ends last holds, then the one
@@ -36,23 +33,16 @@ def join_valid_at(
         F.struct(F.col("valid_to").isNull().alias("_open"), "valid_to", *columns).alias("_version"),
         F.lit(0).alias("_turn"),
     )
-    line = facts.withColumn("_turn", F.lit(1)).unionByName(starts, allowMissingColumns=True)
-    # Facts that have no place meet no version wherever they go: spread by content.
-    placeless = F.col(key).isNull() | F.col(ts).isNull()
-    plain = [c for c, kind in facts.dtypes if "map<" not in kind and kind != "variant"]
-    line = line.withColumns(
-        {
-            "_bucket": time_bucket(ts, bucket_seconds),
-            "_spread": F.when(placeless, F.pmod(F.xxhash64(*plain), F.lit(PLACELESS))),
-        }
-    )
+    placed = facts.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    pairs = placed.select(key, ts).distinct().withColumn("_turn", F.lit(1))
+    line = pairs.unionByName(starts, allowMissingColumns=True)
+    line = line.withColumn("_bucket", time_bucket(ts, bucket_seconds))
     so_far = (
-        Window.partitionBy(key, "_bucket", "_spread")
+        Window.partitionBy(key, "_bucket")
         .orderBy(ts, "_turn", "_version")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = line.where("_spread is null").select(key, "_bucket", ts, "_turn", "_version")
-    before = carry_in(placed, [key], "_bucket", [ts, "_turn"], ["_version"])
+    before = carry_in(line, [key], "_bucket", [ts, "_turn"], ["_version"])
     found = (
         line.withColumn("_here", F.last("_version", ignorenulls=True).over(so_far))
         .where("_turn = 1")
@@ -60,9 +50,10 @@ def join_valid_at(
         .withColumn("_found", F.coalesce("_here", "_in__version"))
     )
     holds = F.col("_found.valid_to").isNull() | (F.col(ts) < F.col("_found.valid_to"))
-    return found.select(
-        *[F.col(c) for c in facts.columns],
-        *[F.when(holds, F.col(f"_found.{c}")).alias(c) for c in columns],
+    found = found.select(key, ts, *[F.when(holds, F.col(f"_found.{c}")).alias(f"_at_{c}") for c in columns])
+    joined = facts.join(found, [key, ts], "left")
+    return joined.select(
+        *[F.col(c) for c in facts.columns], *[F.col(f"_at_{c}").alias(c) for c in columns]
     )
 
 
@@ -91,9 +82,9 @@ def resolve_keys(
     if dim_users is not None:
         out = join_valid_at(out, dim_users, "user_id", ts, ["user_sk"])
     if dim_models is not None:
-        out = lookup_join(out, dim_models.select("model_id", "model_sk"), ["model_id"])
+        out = out.join(dim_models.select("model_id", "model_sk"), "model_id", "left")
     if dim_plans is not None:
-        out = lookup_join(out, dim_plans.select("plan_id", "plan_sk"), ["plan_id"])
+        out = out.join(dim_plans.select("plan_id", "plan_sk"), "plan_id", "left")
     return out
 
 

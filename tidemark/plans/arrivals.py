@@ -30,6 +30,7 @@ from ..sources.files import Files
 from ..sources.staging import read_arrived, read_days
 from ..sources.warehouse import Warehouse
 from .facts import fact_api_usage, fact_billing
+from .hourly import note_hours
 
 TS = "event_timestamp"
 LEDGER = "LOAD_LEDGER"
@@ -188,6 +189,9 @@ def load_arrivals(
             else:
                 new = cut_lineage(FACTS[topic](new, users, models, plans))
                 added[table] = append_facts(warehouse, new, table, schema)
+                if topic in ("safety_events", "api_usage_events"):
+                    hours = new.select(F.date_trunc("hour", TS).cast("timestamp_ntz").alias("hour")).distinct()
+                    note_hours(warehouse, [r.hour for r in hours.collect()], False)  # hours of the calendar
             if added[table]:
                 changed.update(str(r.dt) for r in new.select(F.to_date(TS).alias("dt")).distinct().collect())
         if days or missing:

@@ -16,6 +16,7 @@ from ..sources.staging import read_days
 from ..sources.warehouse import Warehouse
 from . import dims, facts, metrics
 from .arrivals import REDELIVERY_DAYS, TABLES, arrived, load_arrivals, note_load, now_micros
+from .hourly import HOUR, note_hours
 
 TS = "event_timestamp"
 GATED_TOPICS = ["user_events", "conversation_events", "api_usage_events", "billing_events"]
@@ -201,6 +202,8 @@ def run_day(
     rows["SAFETY_EVENTS"] = load_safety_events(spark, staging, warehouse, day)
     for topic in TABLES:
         note_load(warehouse, topic, [day], began)
+    midnight = datetime.datetime.fromisoformat(day)
+    note_hours(warehouse, [midnight + k * HOUR for k in range(24)], False)  # for the hourly run to read again
     rows["LATE_EVENTS"] = sum(late.values())
     check_warehouse(warehouse, day, tolerate)
     build_canonical(warehouse, day, changed)

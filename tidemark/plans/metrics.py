@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.timestamps import on_day
-from ..operators.skew import lookup_join
 
 TIERS = ["free", "plus", "enterprise"]
 MOBILE = ["ios", "android"]
@@ -167,7 +166,7 @@ def _messages_with_tier(conversations: DataFrame, dim_users: DataFrame) -> DataF
     messages = conversations.where(F.col("event_type") == "message_sent").select(
         "user_id", "event_timestamp", "session_id", "model_id", "total_tokens", "latency_ms"
     )
-    return lookup_join(messages, tiers, ["user_id"])
+    return messages.join(tiers, "user_id", "left")
 
 
 def weekly_engagement(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityGateFailed
 from tidemark.plans.daily import run_day
+from tidemark.plans.dims import read_users
 from tidemark.plans.hourly import run_hour
 from tidemark.sources import staging, topics
 from tidemark.sources.warehouse import Warehouse
@@ -117,17 +118,17 @@ def test_facts_hold_each_event_once_with_keys(spark, warehouse):
 
 
 def test_user_dimension_has_one_current_version_each(spark, warehouse):
-    users = warehouse.read_snapshot("DIM_USERS", DAY2)
+    users = read_users(warehouse, DAY2)
     current = {r.user_id: r.user_tier for r in users.where("is_current").collect()}
     assert current == {uid(1): "plus", uid(2): "free", uid(3): "free"}
     assert users.count() == 4
-    earlier = warehouse.read_snapshot("DIM_USERS", DAY1)
+    earlier = read_users(warehouse, DAY1)
     assert earlier.count() == 2
 
 
 def test_fact_points_to_the_version_of_its_time(spark, warehouse):
     facts = warehouse.read("FACT_CONVERSATIONS")
-    users = warehouse.read_snapshot("DIM_USERS", DAY2).select("user_sk", "user_tier")
+    users = read_users(warehouse, DAY2).select("user_sk", "user_tier")
     tiers = {r.event_id: r.user_tier for r in facts.join(users, "user_sk").collect()}
     assert (tiers["c1"], tiers["c3"], tiers["c4"]) == ("free", "free", "plus")
 
@@ -160,4 +161,12 @@ def test_hourly_run_quarantines_once(spark, warehouse):
 
 def test_no_changes_leave_the_last_snapshot(spark, warehouse):
     assert [day for _, day in warehouse.partitions("DIM_USERS")] == [DAY1, DAY2]
-    assert warehouse.read_snapshot("DIM_USERS", "2024-01-09").count() == 4
+    assert read_users(warehouse, "2024-01-09").count() == 4
+
+
+def test_closed_versions_are_written_once(spark, warehouse):
+    """A batch reads and writes heads; what it closed is in its own partition."""
+    heads = warehouse.read_snapshot("DIM_USERS", DAY2)
+    assert heads.count() == heads.select("user_id").distinct().count() == 3
+    closed = warehouse.read("DIM_USERS_CLOSED")
+    assert [(r.user_id, str(r.closed_on), r.user_tier) for r in closed.collect()] == [(uid(1), DAY2, "free")]

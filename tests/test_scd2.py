@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -9,8 +10,11 @@ from tidemark.operators.scd2 import (
     empty_dimension,
     keys_with_many_current,
     late_changes,
+    merge_heads,
+    split_versions,
 )
-from tidemark.plans.dims import merge_users, user_changes
+from tidemark.plans.dims import merge_users, read_users, store_users, user_changes
+from tidemark.sources.warehouse import Warehouse
 
 ATTRIBUTES = ["user_tier", "country_code", "organization_id"]
 TRACKED = ["user_tier", "country_code"]
@@ -258,3 +262,50 @@ def test_surrogate_keys_are_unique(spark, merge):
     )
     out = merge(empty_dimension(incoming, "changed_at"), incoming)
     assert out.select(F.count_distinct("user_sk")).first()[0] == out.count() == 10
+
+
+def test_heads_alone_give_the_same_dimension(spark):
+    """Batch after batch: heads and closed versions apart end as the merge of the whole dimension does."""
+    draw = random.Random(8)
+    whole = dim(spark, ("u0", "free", "US", None, at(-500), at(-100), False), ("u0", "plus", "US", None, at(-100), None, True),
+                ("gone", "free", "US", None, at(-900), at(-400), False), ("gone", "plus", "US", None, at(-400), at(-50), False))
+    heads, closed = split_versions(whole, "user_id")
+    assert sorted((r.user_id, r.is_current) for r in heads.collect()) == [("gone", False), ("u0", True)]
+    assert heads.count() + closed.count() == 4
+    for n in range(3):
+        rows = [
+            (f"u{draw.randrange(5)}", draw.choice(["free", "plus", None]), draw.choice(["US", "DE"]), None, at(1000 * n + draw.randrange(2000)))
+            for _ in range(12)
+        ] + [("gone", "free", "US", None, at(-20 + n))] * (n == 1)
+        incoming = batch(spark, *rows)
+        whole = apply_scd_type2(whole, incoming, "user_id", TRACKED, effective_column="changed_at").drop("change_kind").checkpoint()
+        heads, more = merge_heads(heads, incoming, "user_id", TRACKED, effective_column="changed_at")
+        heads, more = heads.drop("change_kind").checkpoint(), more.drop("change_kind")
+        closed = closed.unionByName(more, allowMissingColumns=True).checkpoint()
+        columns = [*ATTRIBUTES, "user_id", "valid_from", "valid_to", "is_current"]
+        both = heads.select(columns).unionByName(closed.select(columns))
+        assert sorted(map(str, both.collect())) == sorted(map(str, whole.select(columns).collect()))
+        assert heads.count() == heads.select("user_id").distinct().count()
+
+
+def test_a_batch_reads_no_closed_version(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    day = lambda n: f"2024-01-0{n}"
+    for n, tier in ((1, "free"), (2, "plus")):
+        changes = batch(spark, ("u1", tier, "US", None, at(86_400 * n)), ("u2", "free", "US", None, at(5)))
+        changes = changes.withColumns({"display_name": F.lit("x"), "account_status": F.lit("active")})
+        store_users(warehouse, changes, day(n))
+    closed = warehouse.path("WAREHOUSE", "DIM_USERS_CLOSED")
+    files = set(warehouse.read("DIM_USERS_CLOSED").inputFiles())
+    for file in files:  # a batch that read them would fail
+        name = file.removeprefix("file://")
+        os.chmod(name, 0o600)
+        with open(name, "r+b") as f:
+            f.truncate(3)
+    changes = batch(spark, ("u1", "free", "US", None, at(86_400 * 3)))
+    changes = changes.withColumns({"display_name": F.lit("x"), "account_status": F.lit("active")})
+    store_users(warehouse, changes, day(3))
+    assert {p for p in os.listdir(closed) if p.startswith("closed_on")} == {f"closed_on={day(2)}", f"closed_on={day(3)}"}
+    assert read_users(warehouse, day(1)).count() == 2
+    heads = warehouse.read_snapshot("DIM_USERS", day(3)).collect()
+    assert {r.user_id: r.user_tier for r in heads} == {"u1": "free", "u2": "free"}

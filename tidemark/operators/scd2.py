@@ -209,6 +209,37 @@ def apply_scd_type2(
     return merged
 
 
+def merge_heads(
+    heads: DataFrame, incoming_data: DataFrame, natural_key: str, tracked_columns: list[str], **options
+) -> tuple[DataFrame, DataFrame]:
+    """The merge on heads alone, the newest version of each key: (heads after it, versions it closed).
+
+    A key's head tells all that a merge asks of its history: up to when it is settled and what
+    holds now. So closed versions are neither read nor written again; a caller keeps them apart
+    and adds those this returns. A head is a closed version where a key has no open one.
+    """
+    merged = cut_lineage(apply_scd_type2(heads, incoming_data, natural_key, tracked_columns, **options))
+    kind = F.col("change_kind")
+    opened = merged.where(kind.isin("new_key", "new_version")).select(natural_key).distinct()
+    ended = merged.where(kind == "history")  # heads without an open version
+    superseded = ended.join(opened, natural_key, "left_semi")
+    kept = ended.join(opened, natural_key, "left_anti")
+    after = merged.where((kind != "history") & F.col("is_current")).unionByName(kept)
+    closed = merged.where((kind != "history") & ~F.col("is_current")).unionByName(superseded)
+    return after, closed
+
+
+def split_versions(dim: DataFrame, natural_key: str) -> tuple[DataFrame, DataFrame]:
+    """A dimension's (heads, closed versions before them), to store it in two parts."""
+    newest = dim.groupBy(natural_key).agg(F.max("valid_from").alias("valid_from"))
+    # of versions that start at one instant (one of them empty) the open one is the head
+    open_keys = dim.where("is_current").select(natural_key).distinct()
+    ended = dim.join(newest, [natural_key, "valid_from"], "left_semi").join(open_keys, natural_key, "left_anti")
+    heads = dim.where("is_current").unionByName(ended)
+    rest = dim.where(~F.col("is_current"))
+    return heads, rest.join(ended.select(natural_key, "valid_from"), [natural_key, "valid_from"], "left_anti")
+
+
 def keys_with_many_current(dim: DataFrame, natural_key: str) -> DataFrame:
     """Keys that break the rule of one current version."""
     return (

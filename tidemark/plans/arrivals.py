@@ -29,6 +29,7 @@ from ..session import cut_lineage, small_table
 from ..sources.files import Files
 from ..sources.staging import read_arrived, read_days
 from ..sources.warehouse import Warehouse
+from .dims import read_users
 from .facts import fact_api_usage, fact_billing
 from .hourly import note_hours
 
@@ -171,7 +172,8 @@ def load_arrivals(
     never loaded are loaded whole, so that a skipped run is made up for.
     """
     day = before or "9999-12-31"
-    users, models, plans = (warehouse.read_snapshot(t, day) for t in ("DIM_USERS", "DIM_MODELS", "DIM_SUBSCRIPTION_PLANS"))
+    users = read_users(warehouse, day)
+    models, plans = (warehouse.read_snapshot(t, day) for t in ("DIM_MODELS", "DIM_SUBSCRIPTION_PLANS"))
     added, changed = {}, set()
     for topic, (table, schema) in TABLES.items():
         began = now_micros(spark)

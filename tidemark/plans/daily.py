@@ -49,15 +49,14 @@ def load_dimensions(spark: SparkSession, staging: str, warehouse: Warehouse, day
     if changes.isEmpty():
         # A rerun takes back what an earlier run of the day made of its changes.
         warehouse.drop_partition("LATE_USER_CHANGES", "RAW", "dt", day)
-        warehouse.drop_partition("DIM_USERS", "WAREHOUSE", "snapshot", day)
+        dims.drop_users(warehouse, day)
     else:
-        before = warehouse.read_snapshot("DIM_USERS", day, before=True)
+        before = warehouse.read_snapshot(dims.HEADS, day, before=True)
         known = empty_dimension(changes, "changed_at") if before is None else before
         late = late_changes(known, changes, "user_id", "changed_at")
         late = late.withColumn("dt", F.lit(day).cast("date"))
         warehouse.write(late, "LATE_USER_CHANGES", "RAW", "replace", ["dt"], ("dt", day))
-        merged = dims.merge_users(before, changes)
-        warehouse.write_snapshot(merged.drop("change_kind"), "DIM_USERS", day)
+        dims.store_users(warehouse, changes, day)
     known_models = warehouse.read_snapshot("DIM_MODELS", day, before=True)
     warehouse.write_snapshot(dims.seed_models(spark, known_models), "DIM_MODELS", day)
     known_plans = warehouse.read_snapshot("DIM_SUBSCRIPTION_PLANS", day, before=True)
@@ -99,7 +98,7 @@ def load_facts(
 ) -> dict[str, int]:
     """Facts of the day, each replacing its own day's partition; returns their rows."""
     rows = {}
-    users = warehouse.read_snapshot("DIM_USERS", day)
+    users = dims.read_users(warehouse, day)
     models = warehouse.read_snapshot("DIM_MODELS", day)
     plans = warehouse.read_snapshot("DIM_SUBSCRIPTION_PLANS", day)
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..functions.enrich import surrogate_key
 from ..operators.dedup import deduplicate_events
 from ..operators.joins import date_key, merge_insert_if_absent
-from ..operators.scd2 import apply_scd_type2, empty_dimension
+from ..operators.scd2 import apply_scd_type2, empty_dimension, merge_heads
 from ..session import small_table
+from ..sources.warehouse import Warehouse
 
 # The user attributes whose change opens a new version.
 TRACKED_COLUMNS = ["user_tier", "country_code", "display_name", "organization_id", "account_status"]
@@ -55,6 +57,45 @@ def user_changes(user_events: DataFrame, timestamp_column: str = "timestamp") ->
     )
 
 
+HEADS, CLOSED = "DIM_USERS", "DIM_USERS_CLOSED"
+
+
+def store_users(warehouse: Warehouse, changes: DataFrame, day: str) -> None:
+    """Merges the day's changes into the stored user dimension.
+
+    DIM_USERS holds each user's newest version, one snapshot per day; DIM_USERS_CLOSED holds the
+    versions before, by the day that closed them. A day reads the heads before it and writes
+    its heads and what it closed, so closed versions are written once. A rerun replaces both.
+    """
+    before = warehouse.read_snapshot(HEADS, day, before=True)
+    if before is None:
+        before = empty_dimension(changes, "changed_at")
+    heads, closed = merge_heads(before, changes, "user_id", TRACKED_COLUMNS, effective_column="changed_at")
+    closed = closed.drop("change_kind").withColumn("closed_on", F.lit(day).cast("date"))
+    warehouse.write(closed, CLOSED, mode="replace", partition_by=["closed_on"], period=("closed_on", day))
+    warehouse.write_snapshot(heads.drop("change_kind"), HEADS, day)
+
+
+def drop_users(warehouse: Warehouse, day: str) -> None:
+    """Takes back what an earlier run of the day stored."""
+    warehouse.drop_partition(HEADS, "WAREHOUSE", "snapshot", day)
+    warehouse.drop_partition(CLOSED, "WAREHOUSE", "closed_on", day)
+
+
+def read_users(warehouse: Warehouse, day: str) -> DataFrame | None:
+    """All versions as of a day: its heads, and what was closed up to the day of their snapshot."""
+    days = [d for _, d in warehouse.partitions(HEADS) if d <= day]
+    if not days:
+        return None
+    heads = warehouse.read_snapshot(HEADS, day)
+    kept = [d for _, d in warehouse.partitions(CLOSED) if d <= max(days)]
+    if not kept:
+        return heads
+    until = F.col("closed_on") <= F.lit(max(days)).cast("date")
+    closed = warehouse.spark.read.schema(StructType([*heads.schema.fields, StructField("closed_on", DateType())])).parquet(warehouse.path("WAREHOUSE", CLOSED))
+    return heads.unionByName(closed.where(until).drop("closed_on"))
+
+
 def merge_users(existing: DataFrame | None, changes: DataFrame) -> DataFrame:
     """The user dimension after a batch of changes (initial load without ``existing``)."""
     if existing is None:

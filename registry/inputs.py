@@ -1,7 +1,6 @@
 """The given tables, read as the event topics and dimensions of the library.
 
-Each mapping covers its whole table, but for ``dim_users``; ``oracle.py`` states the same
-mappings in SQL.
+Each mapping covers its whole table; ``oracle.py`` states the same mappings in SQL.
 """
 
 from __future__ import annotations
@@ -193,7 +192,7 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with a balance of at least 0; the richer half has a closed version too."""
+    """All customers; the richer half has a closed version too."""
     segment = F.col("c_mktsegment")
     tier = (
         F.when(segment == "AUTOMOBILE", "plus")
@@ -202,7 +201,6 @@ def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     current = (
         table(spark, sf_dir, "customer")
-        .where(F.col("c_acctbal") >= 0)
         .select(
             uid("c_custkey").alias("user_id"),
             F.md5(F.concat(F.lit("u"), F.col("c_custkey").cast("string"))).alias("email_hash"),

@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pytest
 from conftest import at
@@ -23,8 +24,8 @@ def facts(spark):
 def test_cutoffs():
     assert retention.cutoff("WAREHOUSE.FACT_CONVERSATIONS", AS_OF) == "2024-01-03"
     assert retention.cutoff("WAREHOUSE.UNKNOWN", AS_OF) is None
-    assert retention.timestamp_column("CANONICAL.MONTHLY_REVENUE") == "_computed_at"
-    assert retention.timestamp_column("SAFETY.QUARANTINED_ACCOUNTS") == "quarantined_at"
+    assert retention.POLICIES["CANONICAL.MONTHLY_REVENUE"].age == "_computed_at"
+    assert retention.POLICIES["SAFETY.QUARANTINED_ACCOUNTS"].age == "quarantined_at"
 
 
 def test_cutoff_is_strict_and_null_is_kept(spark):
@@ -102,3 +103,40 @@ def test_a_flat_table_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="no partitions"):
         retention.apply_retention(warehouse, "RAW.SAFETY_EVENTS", AS_OF)
     assert warehouse.read("SAFETY_EVENTS", "RAW").count() == 1
+
+
+def test_only_partitions_near_the_cutoff_are_read(spark, tmp_path):
+    """Files of all other days are spoilt but for their footers; nothing looks into them."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows = spark.range(40).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.expr("timestamp_ntz'2023-12-20 10:00:00' + make_dt_interval(id)").alias("event_timestamp"),
+    )
+    rows = rows.withColumn("dt", F.to_date("event_timestamp"))
+    warehouse.write(rows, "FACT_CONVERSATIONS", mode="replace", partition_by=["dt"])
+    near = {f"dt=2024-01-0{d}" for d in (1, 2, 3, 4)}
+    for file in warehouse.read("FACT_CONVERSATIONS").inputFiles():
+        if file.split("/")[-2] not in near:
+            folder, name = os.path.split(file.removeprefix("file://"))
+            os.remove(f"{folder}/.{name}.crc")
+            with open(f"{folder}/{name}", "r+b") as f:
+                f.seek(4)
+                f.write(b"\0" * 12)  # the first page
+    assert retention.apply_retention(warehouse, "WAREHOUSE.FACT_CONVERSATIONS", AS_OF) == 14
+    left = [v for _, v in warehouse.partitions("FACT_CONVERSATIONS")]
+    assert left[0] == "2024-01-03" and len(left) == 26
+    assert retention.apply_retention(warehouse, "WAREHOUSE.FACT_CONVERSATIONS", AS_OF) == 0
+
+
+def test_all_tables_are_counted(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    old, new = datetime.datetime(2015, 1, 1, 5), datetime.datetime(2026, 1, 1, 5)
+    for table, policy in retention.POLICIES.items():
+        schema, name = table.split(".")
+        rows = spark.createDataFrame([("a", old, old.date()), ("b", new, new.date())], f"id string, `{policy.age}` timestamp_ntz, `{policy.period}` date")
+        warehouse.write(rows, name, schema, "replace", [policy.period])
+    # computed again lately: not expired, though its period is long ago
+    again = spark.createDataFrame([("c", new, datetime.date(2015, 2, 1))], "id string, _computed_at timestamp_ntz, month_start date")
+    warehouse.write(again, "MONTHLY_REVENUE", "CANONICAL", "append", ["month_start"])
+    assert retention.apply_all_retention(warehouse, AS_OF) == {t: 1 for t in retention.POLICIES}
+    assert {r.id for r in warehouse.read("MONTHLY_REVENUE", "CANONICAL").collect()} == {"b", "c"}

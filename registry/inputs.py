@@ -235,14 +235,18 @@ def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.unionByName(closed).drop("has_history")
 
 
-def merged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dimension after all user events, and a repeat of what is known of plus users."""
+def user_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All user changes, and a repeat of what is known of plus users."""
     known = dim_users(spark, sf_dir).where("is_current and user_tier = 'plus'")
     repeated = known.drop("valid_from", "valid_to", "is_current").withColumn(
         "changed_at", F.lit("2023-12-01").cast("timestamp_ntz")
     )
-    changes = user_changes(user_events(spark, sf_dir)).unionByName(repeated)
-    return merge_users(dim_users(spark, sf_dir), changes)
+    return user_changes(user_events(spark, sf_dir)).unionByName(repeated)
+
+
+def merged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after the batch."""
+    return merge_users(dim_users(spark, sf_dir), user_batch(spark, sf_dir))
 
 
 def stored_users(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -740,7 +740,7 @@ ORACLE: dict[str, str] = {
     ),
     "scd2_initial_load": sql(
         versions_of(None), "merged"
-    ).replace("from customer where c_acctbal >= 0", "from customer where false"),
+    ).replace("from customer)", "from customer where false)"),
     **{
         f"scd2_{name}": sql(versions_of(kind), "merged")
         for name, kind in (
@@ -1068,3 +1068,90 @@ ORACLE: dict[str, str] = {
         "api",
     ),
 }
+
+
+# --- jobs that keep state between runs (registry/stored.py) ----------------------
+
+WINDOW = "event_timestamp >= timestamp '2024-01-01' and event_timestamp < timestamp '2024-01-31'"
+_X = "user_violation_count_30d"
+_OTHERS = f"""(select *, count(*) over u - 1 as n, sum({_X}) over u - {_X} as s,
+    sum({_X} * {_X}) over u - {_X} * {_X} as q from safety window u as (partition by user_id))"""
+
+
+def _counted_after_retention() -> str:
+    parts = [
+        f"""select '{table}' as table_name, count(*) filter (where {column} >= {cutoff(days)}) as kept_rows,
+            count(*) filter (where {column} < {cutoff(days)}) as deleted_rows from {source}"""
+        for table, source, column, days in RETAINED
+    ]
+    for table, name, expired in (
+        ("DAILY_ACTIVE_USERS", "daily_active_users_all", False),
+        ("WEEKLY_ENGAGEMENT", "weekly_engagement_all", False),
+        ("MONTHLY_REVENUE", "monthly_revenue_all", True),
+    ):
+        kept, deleted = ("0", "count(*)") if expired else ("count(*)", "0")
+        parts.append(f"select 'CANONICAL.{table}', {kept}, {deleted} from ({ORACLE[name]})")
+    return " union all ".join(parts)
+
+
+ORACLE |= {
+    "late_events_loaded": sql(
+        f"""select event_id, {stamp('event_timestamp')} as event_timestamp, user_id,
+            {SESSION_ID} as computed_session_id from {sessions(1800)}""",
+        "conv",
+    ),
+    "copy_after_three_days": ORACLE["write_partition_roundtrip"],
+    "hourly_increment": sql(
+        f"""select m.user_id, n_rows, mean, sd, coalesce(calls, 0) as calls from (
+            select user_id, count(*) as n_rows, round(avg({_X}), 6) as mean, round(stddev_samp({_X}), 6) as sd
+            from safety where {WINDOW} group by user_id) m
+            left join (select user_id, count(*) as calls from api where {WINDOW} group by user_id) c
+            on m.user_id = c.user_id""",
+        "safety",
+        "api",
+    ),
+    "hourly_summary": ORACLE["anomaly_summary"]
+    .replace("from ev where event_type = 'error'", f"from ev where event_type = 'error' and {WINDOW}".replace("event_timestamp", "ts"))
+    .replace(
+        "from ev where event_type in ('purchase', 'error', 'click')",
+        f"from ev where event_type in ('purchase', 'error', 'click') and {WINDOW}".replace("event_timestamp", "ts"),
+    ),
+    "zscore_leave_one_out": sql(
+        f"""select event_id, user_id, round(z, 6) as anomaly_zscore, z > 3 as is_anomaly from (
+            select *, case when n >= 5 and n * q - s * s > 0 then
+                abs({_X} - s / n::double) / sqrt((n * q - s * s)::double / (n * (n - 1))) else 0 end as z
+            from {_OTHERS})""",
+        "safety",
+    ),
+    "scd2_open_only": sql(
+        f"select {stamp('signup_date')} as signup_date, {versions_of(None).removeprefix('select ')}", "merged"
+    ),
+    "compacted_hour": sql(
+        """select cast(cast(event_timestamp as date) as varchar) as dt, hour(event_timestamp) as hr,
+            count(*) as events, cast(sum(total_tokens) as bigint) as tokens from conv group by all""",
+        "conv",
+    ),
+    "retention_delete": sql(_counted_after_retention(), *RETAINED_PARTS),
+    "model_ranking": sql(
+        """select model_id, count(*) as requests, cast(sum(total_tokens) as bigint) as tokens,
+            round(count(*) / sum(count(*)) over ()::double, 6) as share,
+            row_number() over (order by count(*) desc, model_id) as rank from api group by model_id""",
+        "api",
+    ),
+    "violation_ranking": sql(
+        """select violation_type, count(*) as signals,
+            round(count(*) / sum(count(*)) over ()::double, 6) as share,
+            row_number() over (order by count(*) desc, violation_type) as rank
+            from safety group by violation_type""",
+        "safety",
+    ),
+    "seed_merge_filled": sql(
+        """select model_id, 0.0::double as usd_per_1m_input, count(*) as calls
+            from api where model_id like 'gpt-%' group by model_id
+            union all
+            select * from (values ('gpt-4o', 2.5::double, 0), ('gpt-4o-mini', 0.15, 0), ('gpt-4-turbo', 10, 0),
+                ('gpt-3.5-turbo', 0.5, 0), ('o1-preview', 15, 0), ('o1-mini', 3, 0)) s(m, usd, calls)
+            where m not in (select model_id from api where model_id like 'gpt-%')""",
+        "api",
+    ),
+}

@@ -51,6 +51,17 @@ def model_usage(api_usage: DataFrame) -> DataFrame:
     )
 
 
+def ranked(counts: DataFrame, name: str, by: str) -> DataFrame:
+    """Grouped counts in order: each group's ``share`` of all and its ``rank`` from 1, ties by name.
+
+    The window runs over one row per group of an already grouped table.
+    """
+    whole = Window.partitionBy(F.lit(0))
+    order = whole.orderBy(F.desc(by), name)
+    share = F.col(by) / F.sum(by).over(whole)
+    return counts.withColumn("share", share).withColumn("rank", F.row_number().over(order)).orderBy("rank")
+
+
 def daily_volume(ts: str = "event_timestamp", **sources: DataFrame) -> DataFrame:
     """Events per day and source; each source is counted before the union."""
     out = None

@@ -31,7 +31,7 @@ def ids(library, text):
 
 def test_words_equal_the_library(library):
     draw = np.random.default_rng(2)
-    parts = ["ab", "The", " ", "  ", "\n", "\t", "'s", "<|endoftext|>", "\u00e9", "e\u0301", "\u0301", "9", "!", "\u3000", "\x1e", "\u03a3", "ing"]
+    parts = ["ab", "The", " ", ", ", ".. ", "!?\\n", "\u00dc", "\u0130. ", "\u0301, ", "\u00e9; ", "\u65e5. ", "<|", "|>", "9: ", "  ", "\n", "\t", "'s", "<|endoftext|>", "\u00e9", "e\u0301", "\u0301", "9", "!", "\u3000", "\x1e", "\u03a3", "ing"]
     texts = [t or "" for t in TEXTS] + ["".join(draw.choice(parts, draw.integers(1, 14))) for _ in range(3000)]
     words = packing.Words(open(FILE, encoding="utf-8").read())
     for text, got in zip(texts, words.encode(texts)):

@@ -50,6 +50,13 @@ class Vocabulary(NamedTuple):
     special: dict[str, int]
 
 
+def byte_characters() -> list[str]:
+    """The character that a byte-level vocabulary writes for each byte."""
+    plain = {c for r in PRINTABLE for c in r}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
 def read_vocabulary(path: str) -> Vocabulary:
     """A byte-level BPE file of the tokenizers library."""
     with open(path, encoding="utf-8") as f:
@@ -57,9 +64,7 @@ def read_vocabulary(path: str) -> Vocabulary:
     model = spec["model"]
     if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec.get("normalizer"):
         raise ValueError("a plain byte-level BPE vocabulary is needed")
-    plain = {c for r in PRINTABLE for c in r}
-    rest = [b for b in range(256) if b not in plain]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    byte_of = {c: b for b, c in enumerate(byte_characters())}
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ids = model["vocab"]
     tokens = [b""] * (max([*ids.values(), *special.values()]) + 1)

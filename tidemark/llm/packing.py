@@ -18,14 +18,16 @@ Only the lengths and keys of pieces are shuffled. A task holds the rows of a cel
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .bpe_trie import runs
+from .bpe_trie import byte_characters, runs
 from .common import fresh, store
 
 CAPACITY = 4096
@@ -37,18 +39,26 @@ ROOM = 64
 #: Rounds of the local search over the underfull sequences of a cell.
 ROUNDS = 12
 #: Words a worker remembers, their bytes, and the longest one remembered.
-REMEMBERED = 200_000
-REMEMBERED_BYTES = 16_000_000
+REMEMBERED = 500_000
+REMEMBERED_BYTES = 32_000_000
 LONGEST = 200
 
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+_SMALL = [chr(c) for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))]
+_PLAIN = re.compile(f"[a-z{''.join(_SMALL)}]+").fullmatch
+_AS_BYTES = str.maketrans({c: "".join(map(byte_characters().__getitem__, c.encode())) for c in _SMALL})
+#: The place behind a word's last letter or digit, where punctuation and then a blank follow.
+_TAIL = re.compile(r"(?<=[a-zA-Z0-9\u00DF-\u00F6\u00F8-\u00FF])(?=[.,;:!?]+[ \n])")
+
 PIECES = "piece int, start bigint, length bigint, ids binary"
 
 
 class Words:
-    """Token ids of texts by a vocabulary that cuts at white space; remembers those of words.
+    """Token ids of texts by a vocabulary that lower-cases and cuts at white space.
 
-    The vocabulary's file must join nothing across a blank: its words are encoded one by one
-    by the tokenizers library, and a text's ids are those of its words in a row.
+    Nothing in the vocabulary's file may reach across a blank, and it must cut between a letter
+    or digit and punctuation: then a text's ids are those of its words in a row. Each
+    distinct word is encoded once by the tokenizers library, and its ids are remembered.
     """
 
     def __init__(self, spec: str):
@@ -57,28 +67,48 @@ class Words:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self):
         self.known, self.held = {"": b""}, 0
 
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        coded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(words, coded)}
+    def _words(self, text: str) -> list[str]:
+        """What lies between blanks, with the punctuation behind a word set apart.
+
+        Capitals of ASCII are lowered ahead, so that fewer words differ; special tokens are
+        told by their case, so that texts which hold one are left as they are.
+        """
+        if not any(t in text for t in self.special):
+            text = text.encode().translate(_LOWER).decode()
+        return _TAIL.sub(" ", text).replace("\n", " ").replace("\t", " ").split(" ")
+
+    def _encoded(self, words: Iterable[str]) -> dict[str, bytes]:
+        plain, other = [], []
+        for w in words:
+            (plain if _PLAIN(w) else other).append(w)
+        # small letters are their own normal form, and a word of them is one piece: only the
+        # vocabulary's way to write bytes as characters is left to do
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(w if w.isascii() else w.translate(_AS_BYTES))] for w in plain]
+        coded = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        ids += [c.ids for c in coded]
+        return {w: pack_ids(f"<{len(i)}I", *i) for w, i in zip(plain + other, ids)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        cut = [self._words(t) for t in texts]
         if len(self.known) > REMEMBERED or self.held > REMEMBERED_BYTES:
             self._forget()
         known = self.known
-        new = self._encoded([w for w in dict.fromkeys(w for words in cut for w in words) if w not in known])
-        short = {w: ids for w, ids in new.items() if len(w) <= LONGEST}
-        known.update(short)
-        self.held += sum(4 * len(w) + len(ids) for w, ids in short.items())
-        if len(short) < len(new):
-            known = {**known, **new}
-        return [b"".join([known[w] for w in words]) for words in cut]
+        new = self._encoded(set().union(*cut) - known.keys())
+        known.update(new)
+        long = [w for w in new if len(w) > LONGEST]
+        self.held += sum(map(len, new)) + sum(map(len, new.values()))
+        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        for w in long:
+            self.held -= len(w) + len(known.pop(w))
+        return out
 
 
 def pieces(

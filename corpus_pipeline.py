@@ -3,8 +3,7 @@
 Each stage reads what its predecessor kept, written as Parquet in between. All but
 the last return the columns of `documents`:
 
-* language: documents without a letter, and those whose most expected language has
-  under half of the words, go;
+* language: documents without a letter go;
 * toxicity: documents scored 0.5 or more go;
 * near-duplicates: one row of each group stays (five-word shingles, 0.8), also where rows
   repeat an id;
@@ -24,19 +23,30 @@ from tidemark.llm.queries import fold, table, vocabulary
 #: Models and a tokenizer take part, which SQL can't express.
 ORACLE_SQL = None
 
-LEAST_SHARE = 0.5
 TOXIC = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents to whose words a learned language is given, of whatever mixture.
+
+    Those without a letter (null and empty texts too) are rejected. Where no document has a
+    language to learn from, each document with a letter stays. Equal rows share a fate; other
+    columns are carried along; an empty table stays empty.
+    """
     model = codeswitch.fit(docs.where(fold(4) != 2))
     told = fresh(docs.columns, "_told")
     known = docs.withColumn(told, codeswitch.language(docs, model))
-    keep = (F.col(f"{told}.lang") != codeswitch.UNKNOWN) & (F.col(f"{told}.score") >= LEAST_SHARE)
+    keep = F.col(f"{told}.lang") != codeswitch.UNKNOWN
+    if not model.languages:
+        keep = F.col("text").rlike(r"\p{L}")
     return known.where(keep).select(*docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored under TOXIC by a model of the labelled ones; null and empty texts have a score too.
+
+    Equal texts share a fate; other columns are carried along; an empty table stays empty.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
     score = fresh(docs.columns, "_score")
     return docs.withColumn(score, toxicity.score(docs, model)).where(F.col(score) < TOXIC).select(*docs.columns)
@@ -61,10 +71,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix begins them, in its order; see `curriculum.mixed_documents`.
+
+    Texts without words (null too) give nothing and go. Repeated rows are documents of their own,
+    also without an id; other columns are carried along; an empty table stays empty.
+    """
     return curriculum.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of each row's whole text; null and empty texts have no tokens."""
     ids = docs.select("doc_id", bpe_trie.encode(docs, vocabulary()).alias("ids"))
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 

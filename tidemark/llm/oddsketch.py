@@ -55,7 +55,6 @@ MARGIN = 0.08
 BLOCK = 1024
 #: Shingles of a block of full sets, where it has several members.
 SET_BLOCK = 1 << 21
-SIEVE = 1 << 22
 
 _DRAW = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _DRAW.integers(1 << 31, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -296,30 +295,15 @@ def _dealt(members: DataFrame, parts: int) -> DataFrame:
     return dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
-def _sieved(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """``texts`` with an id of ``ids``.
-
-    A bitmap of hashes of the ids, of at most SIEVE bits, is broadcast and lets few
-    other rows through to the join, so that most texts aren't shuffled. It is of use
-    while the ids are fewer than its bits, and correct always.
-    """
-    place = lambda: F.pmod(F.xxhash64(F.lit("sieve"), F.col("id")), F.lit(SIEVE)) + 1
-    marked = ids.select(place().alias("_at"))
-    bits = marked.groupBy(F.bitmap_bucket_number("_at").alias("_part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")
-    )
-    found = texts.withColumn("_at", place()).withColumn("_part", F.bitmap_bucket_number("_at"))
-    found = found.join(F.broadcast(bits), "_part")  # SIEVE / 32768 rows of 4 KB
-    position = F.bitmap_bit_position("_at")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.floor(byte / F.pow(F.lit(2), F.pmod(position, F.lit(8)))) % 2 == 1
-    return found.where(is_set).select("id", "text").join(ids, "id", "left_semi")
+def _of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of some ids, which are stored first: where they are known to be few, no text is shuffled."""
+    return texts.join(store(ids, "named"), "id", "left_semi")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     """Those (a, b) whose full sets are similar enough. ``texts``: (id, text)."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = store(_sieved(texts, named).mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>"), "sets")
+    sets = store(_of_ids(texts, named).mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>"), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -377,7 +361,7 @@ def near_duplicates(
         _by_blocks(_members(most, least)), "key bigint, id bigint, component bigint"
     )
     undecided = store(undecided.distinct(), "undecided")
-    sets = _sieved(rows, undecided.select("id").distinct()).mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>")
+    sets = _of_ids(rows, undecided.select("id").distinct()).mapInArrow(_full_sets(size), "id bigint, shingles array<bigint>")
     members = undecided.join(reps, "id")
     weight = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / SET_BLOCK)).cast("int")

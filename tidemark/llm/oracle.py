@@ -84,3 +84,43 @@ SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n AS n_convs, n_
 FROM nodes v JOIN families f ON f.path = v.path AND f.d = v.d JOIN sums s ON s.path = v.path AND s.d = v.d
 LEFT JOIN nodes up ON up.d = v.d - 1 AND up.path = list_slice(v.path, 1, v.d - 1)
 """
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op9_oddsketch"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(words) >= 3
+      THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(list_slice(words, i, i + 2), ' '))
+      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] END) AS s
+  FROM w
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, l.b FROM reach JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON reach.b = l.a
+), component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN component c ON c.doc_id = d.doc_id
+"""
+
+ORACLE["op2_warc"] = r"""
+WITH p AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT payload_digest AS digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY ALL
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to,
+  url, 1 AS n_metadata
+FROM p LEFT JOIN firsts ON digest = payload_digest
+"""

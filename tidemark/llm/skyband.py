@@ -35,7 +35,7 @@ PRIOR = 5
 LEAST = 30
 TOP = 50
 #: Expected terms of a block and sources of a tile.
-BLOCK = 1024
+BLOCK = 256
 TILE = 256
 #: Terms a worker counts before it hands the counts on, and characters it cuts at a time.
 HELD = 200_000

@@ -1131,6 +1131,7 @@ ORACLE |= {
             count(*) as events, cast(sum(total_tokens) as bigint) as tokens from conv group by all""",
         "conv",
     ),
+    "stream_dedup_hot": "select distinct cast(event_id as varchar) as event_id, 1 as times from events",
     "retention_delete": sql(_counted_after_retention(), *RETAINED_PARTS),
     "model_ranking": sql(
         """select model_id, count(*) as requests, cast(sum(total_tokens) as bigint) as tokens,

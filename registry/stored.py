@@ -10,9 +10,10 @@ from tidemark.plans import arrivals, dims, facts, feeds, hourly, metrics
 from tidemark.session import scratch_dir
 from tidemark.sources import compaction, staging, topics
 from tidemark.sources.warehouse import Warehouse
+from tidemark.streaming import ingest
 
 from . import inputs
-from .queries import AS_OF, RETENTION_AS_OF, TS, VERSION_COLUMNS, _activity, _retained, query, rounded
+from .queries import AS_OF, RETENTION_AS_OF, TS, VERSION_COLUMNS, _activity, _event_stream, _retained, query, rounded
 
 
 def _place(spark: SparkSession, label: str) -> tuple[str, Warehouse]:
@@ -117,6 +118,16 @@ def compacted_hour(spark, sf_dir):
     return stored.groupBy("dt", "hr").agg(F.count("*").alias("events"), F.sum("total_tokens").alias("tokens"))
 
 
+@query
+def stream_dedup_hot(spark, sf_dir):
+    """A third of what arrives are copies of one id; the stream lets each id through once."""
+    events = _event_stream(spark, sf_dir)
+    hot = events.where(F.col("event_id").cast("bigint") % 2 == 0).withColumn("event_id", F.lit("1"))
+    out = scratch_dir(spark, "stream-hot")
+    ingest.run_to_end(ingest.drop_redeliveries(events.unionByName(hot), TS), f"{out}/events", f"{out}/_checkpoint")
+    return spark.read.parquet(f"{out}/events").groupBy("event_id").agg(F.count("*").alias("times"))
+
+
 @query
 def retention_delete(spark, sf_dir):
     """All eight tables stored, expired rows deleted, the rest counted; deletions as the log has them."""

@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -34,3 +35,27 @@ def test_small_table_is_sized(spark):
     df = session.small_table(spark, [("a", 1), ("b", None)], "k string, v int")
     assert df.schema.simpleString() == "struct<k:string,v:int>"
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 10_000
+
+
+def test_workers_elsewhere_get_the_package(tmp_path):
+    """A session started from another folder, with the package on the driver's path only."""
+    import subprocess
+    import sys
+
+    code = """
+import sys
+sys.path.insert(0, %r)
+from tidemark.session import local_session, ship
+from tidemark.streaming.ingest import first_in_task
+spark = local_session("elsewhere", "1")
+ship(spark)
+rows = spark.createDataFrame([("a",), ("a",), ("b",)], "event_id string").coalesce(1)
+def there(batches):
+    import tidemark.streaming.ingest
+    yield from batches
+print("rows", first_in_task(rows).mapInArrow(there, rows.schema).count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code % root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 2" in done.stdout, done.stderr[-2000:]

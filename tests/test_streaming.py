@@ -177,3 +177,16 @@ def test_closed_stream_sessions_match_batch(spark, tmp_path):
     assert sorted((r.session_start, r.event_count) for r in got.collect()) == sorted(
         (r.session_start, r.event_count) for r in closed.collect()
     )
+
+
+def test_a_hot_id_is_cut_ahead_of_the_state(spark, tmp_path):
+    """A third of the rows are copies of one id; each task passes one of them on."""
+    lines = [envelope(i, i) for i in range(400)] + [envelope(7, 7 + i % 50) for i in range(200)] + [envelope(None, 3)]
+    events = flat(spark, lines).repartition(4)
+    cut = ingest.first_in_task(events)
+    passed = {r.event_id: r["count"] for r in cut.groupBy("event_id").count().collect()}
+    assert len(passed) == 401 and max(passed.values()) <= 4 and cut.columns == events.columns
+    unique = ingest.drop_redeliveries(stream_of(spark, tmp_path, lines), "timestamp")
+    ingest.run_to_end(unique, str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = [r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert len(got) == len(set(got)) == 401

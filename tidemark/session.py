@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, which need it wherever a function runs in them.
+
+    Not needed where it is installed on each node or named by ``--py-files``.
+    """
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tidemark-ship-"), "tidemark.zip")  # read by the driver only
+    with zipfile.ZipFile(target, "w") as packed:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.join("tidemark", os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(target)
+
+
 def local_session(app: str = "tidemark", cores: str = "8", **conf: str) -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
     builder = (

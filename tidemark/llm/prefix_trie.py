@@ -145,6 +145,7 @@ def _nodes(blocks: DataFrame, convs: DataFrame, block: int) -> DataFrame:
     same = ["before", "through", "first", "digests", "lengths"]
     distinct = store(blocks.groupBy(*same).agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv").alias("conv")), "distinct-blocks")
     split = distinct.groupBy("before").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("before")
+    split = store(split, "split-blocks")  # of known size: where it is small, blocks needn't be shuffled to meet it
 
     def turns(of: DataFrame) -> DataFrame:
         of = of.withColumn("_keys", _keys(block))

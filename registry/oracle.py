@@ -842,9 +842,9 @@ ORACLE: dict[str, str] = {
     ),
     "orphan_facts": sql(
         """select user_id, count(*) as fact_rows from conv
-            where user_id not in (select user_id from dim) group by user_id""",
+            where user_id not in (select user_id from bill) group by user_id""",
         "conv",
-        "dim",
+        "bill",
     ),
     "active_users_union": sql(
         f"""select user_id, bool_or(via_api) as via_api from (

@@ -512,8 +512,9 @@ def billing_with_keys(spark, sf_dir):
 
 @query
 def orphan_facts(spark, sf_dir):
+    """Messages of users that no bill names."""
     return joins.orphan_counts(
-        inputs.conversation_events(spark, sf_dir), inputs.dim_users(spark, sf_dir)
+        inputs.conversation_events(spark, sf_dir), inputs.billing_events(spark, sf_dir)
     )
 
 

@@ -108,11 +108,11 @@ def scd2_open_only(spark, sf_dir):
 
 @query
 def compacted_hour(spark, sf_dir):
-    """Four writers land each hour; its folders are merged, and the rows stay."""
+    """Two writers land each hour; its folders are merged, and the rows stay."""
     root, _ = _place(spark, "compaction")
     events = inputs.conversation_events(spark, sf_dir)
-    for n in range(4):
-        _land(events.where(F.col("event_id").cast("bigint") % 4 == n), root, "conversation_events", f"w{n}")
+    for n in range(2):
+        _land(events.where(F.col("event_id").cast("bigint") % 2 == n), root, "conversation_events", f"w{n}")
     compaction.compact(spark, root, "conversation_events")
     stored = staging.read_days(spark, root, "conversation_events", "2000-01-01", "2100-01-01")
     return stored.groupBy("dt", "hr").agg(F.count("*").alias("events"), F.sum("total_tokens").alias("tokens"))

@@ -841,10 +841,10 @@ ORACLE: dict[str, str] = {
         "bill",
     ),
     "orphan_facts": sql(
-        """select user_id, count(*) as fact_rows from conv
-            where user_id not in (select user_id from bill) group by user_id""",
-        "conv",
+        """select user_id, count(*) as fact_rows from bill
+            where user_id not in (select user_id from uev) group by user_id""",
         "bill",
+        "uev",
     ),
     "active_users_union": sql(
         f"""select user_id, bool_or(via_api) as via_api from (

@@ -512,10 +512,8 @@ def billing_with_keys(spark, sf_dir):
 
 @query
 def orphan_facts(spark, sf_dir):
-    """Messages of users that no bill names."""
-    return joins.orphan_counts(
-        inputs.conversation_events(spark, sf_dir), inputs.billing_events(spark, sf_dir)
-    )
+    """Bills of users that no user event names."""
+    return joins.orphan_counts(inputs.billing_events(spark, sf_dir), inputs.user_events(spark, sf_dir))
 
 
 # --- metrics ---------------------------------------------------------------------

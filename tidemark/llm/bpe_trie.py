@@ -38,10 +38,10 @@ PRINTABLE = (range(0x21, 0x7F), range(0xA1, 0xAD), range(0xAE, 0x100))
 
 #: Bounds of what a worker holds beside the vocabulary: words it remembers and their bytes,
 #: token pairs it remembers, and the characters it cuts at a time (one text at least).
-REMEMBERED = 500_000
-REMEMBERED_BYTES = 32_000_000
-REMEMBERED_PAIRS = 500_000
-PIECE = 2_000_000
+REMEMBERED = 150_000
+REMEMBERED_BYTES = 8_000_000
+REMEMBERED_PAIRS = 250_000
+PIECE = 500_000
 
 
 class Vocabulary(NamedTuple):
